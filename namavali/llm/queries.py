@@ -25,7 +25,7 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
-_STOP = ", ".join(f"'{w}'" for w in sorted(set(rules.STOP_WORDS)))
+_STOP = ", ".join(f"'{x}'" for x in sorted({v for w in rules.STOP_WORDS for v in (w, w.capitalize(), w.upper())}))
 SQL_OP9 = f"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_WORD}) AS words,
@@ -40,13 +40,13 @@ m AS (
   SELECT w.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, len(lines) AS n_lines,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(p.n, 0)::BIGINT AS n_repeat_words,
-         len(list_filter(words, lambda x: lower(x) IN ({_STOP}))) AS n_stop,
-         length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_caps, length(regexp_replace(t, '[^!]', '', 'g')) AS n_bang
+         len(list_filter(words, lambda x: x IN ({_STOP}))) AS n_stop,
+         length(regexp_replace(t, '[^!]', '', 'g')) AS n_bang
   FROM w LEFT JOIN p USING (doc_id)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND word_chars / n_words BETWEEN 1.2 AND 60.0 AND n_symbols / n_words <= 0.25
-       AND n_caps / word_chars <= 0.45 AND n_bang / n_words <= 0.5 AND n_dup_lines / n_lines <= 0.6
+       AND n_bang / n_words <= 0.5 AND n_dup_lines / n_lines <= 0.6
        AND n_stop / n_words >= 0.005 AS kept
 FROM b
 """
