@@ -83,7 +83,7 @@ _LOWER[65:91] += 32
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_POW = np.ones(64, np.uint64)
+_POW = np.ones(1, np.uint64)
 
 
 def _powers(n: int) -> np.ndarray:

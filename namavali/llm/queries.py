@@ -4,21 +4,63 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dedup, rules
+from . import bpe, dedup, html_text, maxent, packing, quality, rules, secrets, warc
 from .common import read_table
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
 
+def vocabulary(name: str) -> str:
+    """The path of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.find_secrets(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), pattern())
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op6_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score_texts(read_table(spark, sf_dir, "documents"))
+
+
+def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit_pack(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rules.quality_rules(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_and_decode(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), pattern())
+
+
 SQL_OP5 = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -51,5 +93,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-QUERIES = {"op5_exact_dedup": op5_exact_dedup, "op9_quality_rules": op9_quality_rules}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_html_text, op3_secrets, op4_warc, op5_exact_dedup, op6_maxent, op7_quality_gam, op8_best_fit_packing, op9_quality_rules, op10_byte_bpe)
+}
 ORACLE = {"op5_exact_dedup": SQL_OP5, "op9_quality_rules": SQL_OP9}
