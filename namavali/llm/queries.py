@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, dedup, html_text, maxent, packing, quality, rules, secrets, warc
+from . import bpe, dedup, html_text, maxent, ngram_join, packing, quality, rules, secrets, warc
 from .common import read_table
 
 _WORD = r"'[^\x20\x09-\x0D]+'"
@@ -27,6 +27,10 @@ def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secrets.find_secrets(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"), pattern())
     return out.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
@@ -95,6 +99,6 @@ FROM b
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_html_text, op3_secrets, op4_warc, op5_exact_dedup, op6_maxent, op7_quality_gam, op8_best_fit_packing, op9_quality_rules, op10_byte_bpe)
+    for f in (op1_html_text, op2_ngram_join, op3_secrets, op4_warc, op5_exact_dedup, op6_maxent, op7_quality_gam, op8_best_fit_packing, op9_quality_rules, op10_byte_bpe)
 }
 ORACLE = {"op5_exact_dedup": SQL_OP5, "op9_quality_rules": SQL_OP9}
