@@ -70,13 +70,13 @@ def distance(a: str, b: str, most: int) -> int:
 
 
 def greedy(latins: list[str], most: int = 1) -> list[list[int]]:
-    """Clusters of places: each free name in order takes the later free ones that are close to all it has, equal to none."""
+    """Clusters of places: each free name in order takes the later free ones of its length that are close to all it has, equal to none."""
     free, out = [True] * len(latins), []
     for i in range(len(latins)):
         if free[i]:
             free[i], group = False, [i]
             for j in range(i + 1, len(latins)):
-                if free[j] and all(0 < distance(latins[g], latins[j], most) <= most for g in group):
+                if free[j] and all(len(latins[g]) == len(latins[j]) and 0 < distance(latins[g], latins[j], most) <= most for g in group):
                     free[j] = False
                     group.append(j)
             out.append(group)
