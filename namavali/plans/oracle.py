@@ -74,9 +74,13 @@ def latin(x: str) -> str:
     return x
 
 
+def plain(x: str) -> str:
+    return f"regexp_replace({x}, '[^\\x00-\\x7f]', '^', 'g')"
+
+
 def ascii_latin(x: str) -> str:
-    """The spelling with one ASCII character for the dot below, which has none: DuckDB counts bytes in edit distances."""
-    return f"replace(lower({latin(x)}), '\u093c', '^')"
+    """The spelling with one ASCII character for each that has none: DuckDB counts bytes in edit distances."""
+    return plain(f"lower({latin(x)})")
 
 
 _ENDS = lambda x, e: f"ends_with({x}, {q(e)})"
@@ -189,7 +193,7 @@ def _window(src: str, by: str, size: int) -> str:
 def cluster_ctes(src: str) -> str:
     """From src(seq, name): members(cluster_id, pos, name, latin, cnt). A name joins the first cluster of its length that
     it differs from in one character throughout, which is what taking the free ones seed by seed comes to."""
-    close = "list_transform(g.cl, lambda c: len(list_filter(c, lambda m: levenshtein(replace(m, '\u093c', '^'), replace(s.latin, '\u093c', '^')) <> 1)) = 0)"
+    close = f"list_transform(g.cl, lambda c: len(list_filter(c, lambda m: levenshtein({plain('m')}, {plain('s.latin')}) <> 1)) = 0)"
     return f"""counted AS (SELECT name, count(*) AS cnt, min(seq) AS first_seq FROM {src} GROUP BY name),
 spelled AS (SELECT *, lower({latin("name")}) AS latin FROM counted),
 placed AS (SELECT *, length(latin) AS grp, row_number() OVER (PARTITION BY length(latin) ORDER BY first_seq) AS rn FROM spelled),
@@ -301,7 +305,7 @@ _CLUSTERS = f"{_WITH}, {cluster_ctes('listed')}"
 SQL |= {
     "phonetic_clusters": f"{_CLUSTERS} SELECT cluster_id, string_agg(name || '=' || latin || '=' || cnt, '|' ORDER BY pos) AS members FROM members GROUP BY cluster_id",
     "cluster_members": f"{_CLUSTERS} SELECT * FROM members",
-    "cluster_adjacent_distance": f"{_CLUSTERS}, n AS (SELECT cluster_id, pos, latin, lead(latin) OVER (PARTITION BY cluster_id ORDER BY pos) AS next_latin FROM members) SELECT *, levenshtein(replace(latin, '\u093c', '^'), replace(next_latin, '\u093c', '^')) AS distance FROM n WHERE next_latin IS NOT NULL",
+    "cluster_adjacent_distance": f"{_CLUSTERS}, n AS (SELECT cluster_id, pos, latin, lead(latin) OVER (PARTITION BY cluster_id ORDER BY pos) AS next_latin FROM members) SELECT *, levenshtein({plain('latin')}, {plain('next_latin')}) AS distance FROM n WHERE next_latin IS NOT NULL",
     "invalid_names": f"{_WITH}, {validation_ctes(None)} SELECT name FROM invalid",
     "valid_first_names": f"{_WITH}, {validation_ctes(None)} SELECT seq, name FROM valid",
 }
