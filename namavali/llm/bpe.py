@@ -13,21 +13,20 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
-
 #: Characters of text in a block: what one task holds at once.
-BLOCK = 8_000_000
+BLOCK = 32_000_000
 
 
 @lru_cache(maxsize=4)
@@ -55,37 +54,48 @@ def _encoding(path: str, pattern: str):
 
 
 def _pack(b: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b)
+    return zstandard.ZstdCompressor(level=3).compress(b)
 
 
 def _unpack(b: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(b, max_output_size=1 << 31)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Small numbers packed by byte planes: high bytes, mostly zero, cost next to nothing."""
+    return _pack(np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def _numbers(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(_unpack(raw), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _pieces(found: list[str]) -> tuple[bytes, bytes]:
     """Words as (lengths, bytes), packed."""
     raw = [w.encode() for w in found]
-    return _pack(np.array([len(w) for w in raw], np.uint32).tobytes()), _pack(b"".join(raw))
+    return _planes(np.array([len(w) for w in raw], np.uint32)), _pack(b"".join(raw))
 
 
 def _words(sizes: bytes, data: bytes) -> list[bytes]:
-    raw, ends = _unpack(data), np.cumsum(np.frombuffer(_unpack(sizes), np.uint32)).tolist()
+    raw, ends = _unpack(data), np.cumsum(_numbers(sizes)).tolist()
     return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def _share(word: str, shares: int) -> int:
-    import xxhash
-
     return xxhash.xxh64_intdigest(word) % shares
 
 
-def list_words(df: DataFrame, pattern: str, id_col: str, text_col: str, shares: int, block: int = BLOCK) -> DataFrame:
-    """Rows of two kinds for each block: share -1 has ids of texts, their sizes and positions; others the words of a share."""
+def list_words(df: DataFrame, pattern: str, id_col: str, text_col: str, shares: int, block: int = BLOCK, only: str | None = None) -> DataFrame:
+    """Rows of two kinds for each block: share -1 has ids of texts, their sizes and positions; others the words of a share.
+
+    only: "texts" or "words", for one kind. Blocks are named by partition, number and ids, so both kinds can be made in
+    passes of their own without storing the positions.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = regex.compile(pattern).findall
 
-        def out(key: str, seen: dict[str, int], ids: list, counts: list, places: list) -> pa.RecordBatch:
+        def out(key: int, seen: dict[str, int], ids: list, counts: list, places: list) -> pa.RecordBatch:
             names = list(seen)
             by = [[] for _ in range(shares)]
             for w in names:
@@ -93,8 +103,16 @@ def list_words(df: DataFrame, pattern: str, id_col: str, text_col: str, shares:
             order = {w: i for i, w in enumerate(w for part in by for w in part)}
             to = np.fromiter((order[w] for w in names), np.uint32, len(names))
             at = np.concatenate(places) if places else np.zeros(0, np.uint32)
-            rows = [(key, -1, pa.array(ids, pa.int64()), _pack(np.array(counts, np.uint32).tobytes()), _pack(to[at].astype(np.uint32).tobytes()))]
-            rows += [(key, k, None, *_pieces(part)) for k, part in enumerate(by) if part]
+            # Positions hold ranks by frequency, which pack well; behind the counts, each rank's place among the words.
+            by_rank = np.argsort(-np.bincount(at, minlength=len(names)), kind="stable")
+            rank = np.empty(len(names), np.uint32)
+            rank[by_rank] = np.arange(len(names))
+            key = f"{TaskContext.get().partitionId()}-{key}-{xxhash.xxh64_hexdigest(repr(ids))}"
+            rows = []
+            if only != "words":
+                rows.append((key, -1, pa.array(ids, pa.int64()), _planes(np.concatenate([np.array(counts, np.uint32), to[by_rank]])), _planes(rank[at])))
+            if only != "texts":
+                rows += [(key, k, None, *_pieces(part)) for k, part in enumerate(by) if part]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[0] for r in rows], pa.string()),
@@ -106,9 +124,9 @@ def list_words(df: DataFrame, pattern: str, id_col: str, text_col: str, shares:
                 ["block", "share", "ids", "sizes", "data"],
             )
 
-        fresh = lambda: (uuid.uuid4().hex, {}, [], [], [])
-        key, seen, ids, counts, places = fresh()
-        size = 0
+        fresh = lambda: ({}, [], [], [])
+        seen, ids, counts, places = fresh()
+        key, size = 0, 0
         for b in batches:
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 found = split(text or "")
@@ -118,8 +136,8 @@ def list_words(df: DataFrame, pattern: str, id_col: str, text_col: str, shares:
                 size += len(text or "")
                 if size >= block:
                     yield out(key, seen, ids, counts, places)
-                    key, seen, ids, counts, places = fresh()
-                    size = 0
+                    seen, ids, counts, places = fresh()
+                    key, size = key + 1, 0
         if ids:
             yield out(key, seen, ids, counts, places)
 
@@ -145,22 +163,22 @@ def encode_words(lists: DataFrame, path: str, pattern: str) -> DataFrame:
                     if ids is None:
                         ids = done[w] = np.array(whole(w), np.uint32).tobytes()
                     got.append(ids)
-                out.append((block, share, _pack(np.array([len(g) // 4 for g in got], np.uint32).tobytes()), _pack(b"".join(got))))
+                out.append((block, share, _planes(np.array([len(g) // 4 for g in got], np.uint32)), _planes(np.frombuffer(b"".join(got), np.uint32))))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.string(), pa.int32(), pa.binary(), pa.binary()))] if out else [pa.array([], t) for t in (pa.string(), pa.int32(), pa.binary(), pa.binary())], ["block", "share", "sizes", "data"])
 
     words = lists.where("share >= 0").select("block", "share", "sizes", "data")
     return words.repartition("share").sortWithinPartitions("share").mapInArrow(run, "block string, share int, sizes binary, data binary")
 
 
-def assemble(lists: DataFrame, encoded: DataFrame, path: str) -> Iterator:
-    """Texts put together by position: (id, n_tokens, ids packed, decoded)."""
+def gather(lists: DataFrame, encoded: DataFrame) -> DataFrame:
+    """Each block's encoded words, then its texts, in one task."""
     texts = lists.where("share = -1").select("block", "share", "ids", "sizes", "data")
     both = texts.unionByName(encoded.withColumn("ids", F.lit(None).cast("array<bigint>")))
     return both.repartition("block").sortWithinPartitions(F.col("block"), F.col("share").desc())
 
 
 def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """For each block: ids of texts, their numbers of words, the words' places, and the ids of each word in that order."""
+    """For each block: ids of texts, their numbers of words, the words' ranks, and the token ids of each rank."""
     parts: list[tuple[int, bytes, bytes]] = []
     for b in batches:
         for _, share, ids, sizes, data in zip(*(b.column(k).to_pylist() for k in range(5))):
@@ -168,17 +186,22 @@ def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndar
                 parts.append((share, sizes, data))
                 continue
             parts.sort(key=lambda p: p[0])
-            n = np.concatenate([np.frombuffer(_unpack(s), np.uint32) for _, s, _ in parts]) if parts else np.zeros(0, np.uint32)
-            flat = np.concatenate([np.frombuffer(_unpack(d), np.uint32) for _, _, d in parts]) if parts else np.zeros(0, np.uint32)
-            yield ids, np.frombuffer(_unpack(sizes), np.uint32), np.frombuffer(_unpack(data), np.uint32), np.split(flat, np.cumsum(n)[:-1]) if len(n) else []
+            n = np.concatenate([_numbers(s) for _, s, _ in parts]) if parts else np.zeros(0, np.uint32)
+            flat = np.concatenate([_numbers(d) for _, _, d in parts]) if parts else np.zeros(0, np.uint32)
+            told = _numbers(sizes)
+            counts, by_rank = told[: len(ids)], told[len(ids) :]
+            if len(by_rank) != len(n):
+                raise ValueError(f"a block has {len(by_rank)} words, and {len(n)} came back")
+            ends = np.cumsum(n, dtype=np.int64)
+            yield ids, counts, _numbers(data), [flat[a:z] for a, z in zip((ends - n)[by_rank].tolist(), ends[by_rank].tolist())]
             parts = []
 
 
 def encode_and_decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = True) -> DataFrame:
     """Per row: id, n_tokens, and either digests of the ids and of the decoded bytes, or token_ids and decoded."""
     shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lists = materialize(list_words(df, pattern, id_col, text_col, shares), "words")
-    ordered = assemble(lists, encode_words(lists, path, pattern), path)
+    kind = lambda only: list_words(df, pattern, id_col, text_col, shares, only=only)
+    ordered = gather(kind("texts"), encode_words(kind("words"), path, pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_table(path)
