@@ -15,6 +15,9 @@ own. An empty table gives an empty table. Only the id and the text are read.
 
 from __future__ import annotations
 
+import gc
+import json
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -44,38 +47,139 @@ def tokenizer(path: str):
     return t
 
 
-class WordCache:
-    """Ids of words, kept from batch to batch up to a bound."""
+#: Words whose normal form and pre-tokens are plain: Latin letters, digits and ASCII marks without an apostrophe.
+PLAIN = re.compile(r"[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+PIECE = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+class Merges:
+    """The tokenizer's merges, applied to many pre-tokens at once: each takes its lowest merge, leftmost first, in turn."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocab, suffix = model["vocab"], model["end_of_word_suffix"]
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in set(plain)]
+        char = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}  # bytes as printable characters
+        self.inner = np.array([vocab[char[b]] for b in range(256)], np.int64)
+        self.last = np.array([vocab[char[b] + suffix] for b in range(256)], np.int64)
+        keys = np.array([vocab[a] << 16 | vocab[b] for a, b in pairs], np.int64)
+        made = np.array([vocab[a + b] for a, b in pairs], np.int64)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.rank, self.made = keys[order], order.astype(np.int64), made[order]
+
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each, as little-endian 32-bit numbers."""
+        sizes = np.array([len(p) for p in pieces], np.int64)
+        raw = np.frombuffer(b"".join(pieces), np.uint8)
+        token = self.inner[raw]
+        ends = np.cumsum(sizes)
+        token[ends - 1] = self.last[raw[ends - 1]]
+        out = [b""] * len(pieces)
+        names, none = np.arange(len(pieces)), np.int64(1) << np.int64(62)
+        while len(names):
+            ends = np.cumsum(sizes)
+            key = np.append(token[:-1] << 16 | token[1:], -1)
+            key[ends - 1] = -1
+            k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            value = np.where(self.keys[k] == key, self.rank[k] << 32 | np.arange(len(token)), none)
+            best = np.minimum.reduceat(value, ends - sizes)
+            done = best == none
+            if done.any():
+                told = token.astype("<u4").tobytes()
+                for i, a, z in zip(names[done].tolist(), (4 * (ends - sizes)[done]).tolist(), (4 * ends[done]).tolist()):
+                    out[i] = told[a:z]
+            at = best[~done] & 0xFFFFFFFF
+            token[at] = self.made[k[at]]
+            keep = np.repeat(~done, sizes)
+            keep[at + 1] = False
+            token, sizes, names = token[keep], sizes[~done] - 1, names[~done]
+        return out
+
+
+@lru_cache(maxsize=4)
+def merges(path: str) -> Merges:
+    return Merges(path)
+
 
-    def __init__(self, path: str, most: int = 300_000):
-        self.path, self.most, self.ids = path, most, {}
+class Numbering(dict):
+    """Keys numbered as they are first looked up."""
 
-    def get(self, found: list[bytes]) -> list[np.ndarray]:
-        new = [w for w in found if w not in self.ids]
-        if len(self.ids) + len(new) > self.most:
-            self.ids, new = {}, found
-        got = tokenizer(self.path).encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        self.ids.update(zip(new, (np.array(e.ids, np.uint32) for e in got)))
-        return [self.ids[w] for w in found]
+    def __missing__(self, key: bytes) -> int:
+        n = self[key] = len(self)
+        return n
+
+
+class WordCache:
+    """Ids of words, as bytes, kept from batch to batch up to a bound. Plain words are merged by pre-token, the others
+    tokenized."""
+
+    def __init__(self, path: str, most: int = 400_000):
+        self.path, self.most, self.ids, self.pieces = path, most, {}, {}
+
+    def get(self, found: list[bytes]) -> list[bytes]:
+        """Ids of each word. What is made here has no cycles, and the collector would go through all of it again and again."""
+        on = gc.isenabled()
+        gc.disable()
+        try:
+            return self._get(found)
+        finally:
+            if on:
+                gc.enable()
+
+    def _get(self, found: list[bytes]) -> list[bytes]:
+        ids, pieces = self.ids, self.pieces
+        new = [w for w in found if w not in ids]
+        plain, odd = [], []
+        for w in new:
+            t = w.decode()
+            if PLAIN.fullmatch(t):
+                plain.append((w, PIECE.findall(t.lower())))
+            else:
+                odd.append((w, t))
+        fresh = list({p for _, ps in plain for p in ps}.difference(pieces))
+        if fresh:
+            told = merges(self.path).encode([p.encode() for p in fresh])
+            if len(pieces) > self.most:
+                pieces = dict(pieces)
+            pieces.update(zip(fresh, told))
+        more = ids if len(ids) <= self.most else {}  # a full cache stays as it is: frequent words have come early
+        for w, ps in plain:
+            more[w] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
+        if odd:
+            got = tokenizer(self.path).encode_batch_fast([t for _, t in odd], add_special_tokens=False)
+            more.update((w, np.array(e.ids, "<u4").tobytes()) for (w, _), e in zip(odd, got))
+        return [ids[w] for w in found] if more is ids else [ids[w] if w in ids else more[w] for w in found]
+
+
+@lru_cache(maxsize=2)
+def word_cache(path: str) -> WordCache:
+    """One cache for all tasks that a Python process runs."""
+    return WordCache(path)
 
 
 def encode_texts(column: pa.Array, cache: WordCache) -> Iterator[np.ndarray]:
     """Ids of each text. The tokenizer drops white space, so words between ASCII white space are encoded alone."""
     data, offsets = text_buffer(column)
-    for i, j in chunks(offsets, CHUNK_BYTES * 4):
+    for i, j in chunks(offsets, CHUNK_BYTES * 8):
         text = data[offsets[i] : offsets[j]].tobytes()
         bounds = (offsets[i : j + 1] - offsets[i]).tolist()
-        seen: dict[bytes, int] = {}
-        places = [np.fromiter((seen.setdefault(w, len(seen)) for w in text[a:z].split()), np.int64) for a, z in zip(bounds, bounds[1:])]
-        coded = cache.get(list(seen))
-        sizes = np.array([len(c) for c in coded], np.int64)
-        flat = np.concatenate(coded) if coded else np.zeros(0, np.uint32)
-        starts = np.concatenate([[0], np.cumsum(sizes)])
+        number = Numbering()
+        places = []
+        for a, z in zip(bounds, bounds[1:]):
+            found = text[a:z].split()
+            places.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
+        coded = cache.get(list(number))
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        flat = np.frombuffer(b"".join(coded), "<u4")
+        starts = np.cumsum(sizes) - sizes
         for at in places:
             n = sizes[at]
-            total = int(n.sum())
-            inside = np.arange(total) - np.repeat(np.cumsum(n) - n, n)
-            yield flat[np.repeat(starts[at], n) + inside]
+            ends = np.cumsum(n)
+            total = int(ends[-1]) if len(ends) else 0
+            yield flat[np.arange(total) + np.repeat(starts[at] - ends + n, n)]
 
 
 def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END) -> DataFrame:
@@ -83,7 +187,7 @@ def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     assert bool(_SPACE[list(b" \t\n\x0b\x0c\r")].all())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordCache(path)
+        cache = word_cache(path)
         for b in batches:
             rows: list[tuple] = []
             for i, ids in zip(b.column(0).to_pylist(), encode_texts(b.column(1), cache)):
