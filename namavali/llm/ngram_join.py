@@ -2,16 +2,19 @@
 
 A text's set is its distinct shingles of `k` words (64-bit hashes). Texts with one set are a class; a class stands for
 its copies from the start. Two sets that reach the threshold share a shingle among the first few of each in any common
-order; the order is rare-first, by counts of all shingles in a table of fixed size (a table's count is never below a
-shingle's own, so what it calls unique is). Prefix shingles are joined in two steps, so that a large group of near
-copies is not expanded into its pairs:
+order; the order is rare-first, by the number of texts. Those numbers come from all shingles: blocks of texts send their
+shingles, as packed columns, to the task of a shingle range, which sends back only those that occur again. What occurs
+once comes first in the order and can join nothing, so few texts have any entry in a prefix list.
+
+Prefix shingles are joined in two steps, so that a large group of near copies is not expanded into its pairs:
 
 1. Each prefix list links its members to one leader, taken by a hash of list and member: as many pairs as entries.
    Pairs that pass the length, positional and suffix filters are verified, once each, and give components.
 2. Members of one list that are still in different components, and have not been compared, are paired under the same
    filters and verified. What is skipped are only pairs that are connected already, so components are exact.
 
-Lists of very frequent shingles are dealt out in shares, whose leaders meet again.
+A shingle that is frequent in a block is sent once with its count, and lists of very frequent shingles are dealt out in
+shares, whose leaders meet again.
 
 Defined results: a null text, or one without words, has an empty set and is linked with nothing; a text of fewer than k
 words has its whole sequence as one shingle; repeated rows are copies; null ids get a component if a text of theirs is
@@ -20,6 +23,7 @@ linked, as the smallest id of it. An empty table gives an empty table. Only the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,10 +37,11 @@ from pyspark.sql import functions as F
 from .common import chunks, hash_words, materialize, mix, text_buffer
 
 WORDS, PERCENT = 5, 80
-#: Buckets of the table of counts; parts it is summed in; buckets of a set's signature; a list's entries in a share.
-BUCKETS, PARTS, SIGNATURE, SHARE = 1 << 23, 64, 32, 4096
-#: Shingles counted before a task writes its counts.
-HELD = 1 << 23
+#: Buckets of a set's signature; a list's entries in a share; shingles of a block; texts of a block with a shingle from
+#: which it counts as frequent there; bits of the filter that chooses texts to be read again.
+SIGNATURE, SHARE, HELD, FREQUENT, FILTER = 32, 4096, 1 << 21, 32, 1 << 25
+#: Bits of a shingle's name in lists: a clash makes a candidate more, which verification drops.
+NAME = 40
 _PAD = np.uint64(0xA0761D6478BD642F)
 _STEP = np.uint64(0xE7037ED1A0B428DB)
 
@@ -76,89 +81,158 @@ def set_key(s: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(np.ascontiguousarray(s).tobytes())).view(np.int64))
 
 
-def _bucket(s: np.ndarray) -> np.ndarray:
-    return (s >> np.uint64(24)) & np.uint64(BUCKETS - 1)
-
+def _planes(x: np.ndarray, bytes_each: int) -> bytes:
+    """Numbers packed by byte planes, so that high bytes, which are mostly zero, cost nothing."""
+    return _pack(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :bytes_each].T))
 
-def count_table(rows: DataFrame, k: int) -> np.ndarray:
-    """log2 of the number of texts by bucket of shingles, in eighths (uint8): all texts, BUCKETS bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
 
-        def out() -> pa.RecordBatch:
-            at, n = np.unique(np.concatenate(held), return_counts=True)
-            cuts = np.searchsorted(at, np.arange(PARTS + 1, dtype=np.uint64) * np.uint64(BUCKETS // PARTS))
-            parts = [(p, _pack(np.diff(at[a:z], prepend=at.dtype.type(p * (BUCKETS // PARTS))).astype(np.uint32)), _pack(n[a:z].astype(np.uint32))) for p, (a, z) in enumerate(zip(cuts, cuts[1:])) if z > a]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*parts), (pa.int32(), pa.binary(), pa.binary()))], ["part", "gaps", "counts"])
-
-        for b in batches:
-            data, offsets = text_buffer(b.column(1))
-            for i, j in chunks(offsets):
-                s, _ = shingle_sets(data, offsets, i, j, k)
-                held.append(_bucket(s).astype(np.uint32))
-                size += len(s)
-                if size >= HELD:
-                    yield out()
-                    held, size = [], 0
-        if size:
-            yield out()
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(BUCKETS // PARTS, np.int64)
-        for gaps, counts in zip(pdf["gaps"], pdf["counts"]):
-            total[np.cumsum(_unpack(gaps, np.uint32).astype(np.int64))] += _unpack(counts, np.uint32)
-        told = np.minimum(np.floor(8 * np.log2(np.maximum(total, 1))), 255).astype(np.uint8)
-        return pd.DataFrame({"part": [pdf["part"].iloc[0]], "told": [_pack(told)]})
-
-    parts = rows.mapInArrow(run, "part int, gaps binary, counts binary").groupBy("part").applyInPandas(add, "part int, told binary").collect()
-    table = np.zeros(BUCKETS, np.uint8)
-    wide = BUCKETS // PARTS
-    for r in parts:  # PARTS rows at most
-        table[r["part"] * wide : (r["part"] + 1) * wide] = _unpack(r["told"], np.uint8)
-    return table
+def _numbers(raw: bytes, bytes_each: int) -> np.ndarray:
+    planes = _unpack(raw, np.uint8).reshape(bytes_each, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :bytes_each] = planes.T
+    return out.view("<u8").ravel()
 
 
 def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def prefixes(rows: DataFrame, k: int, percent: int) -> DataFrame:
-    """Per row: id, n, key; at a set's first row in a task also its prefix, rarest first, as (shingle, shares), places
-    there, and signature. Unique shingles are left out of the prefix but keep their places."""
-    table = rows.sparkSession.sparkContext.broadcast(count_table(rows, k))  # BUCKETS bytes, whatever the input
+def sets_table(rows: DataFrame, k: int) -> DataFrame:
+    """Per row: id, n, key (null for an empty set), and the set's signature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offsets = text_buffer(b.column(1))
+            for i, j in chunks(offsets):
+                s, at = shingle_sets(data, offsets, i, j, k)
+                n = np.diff(at)
+                row = np.repeat(np.arange(j - i), n)
+                sig = np.bincount(row * SIGNATURE + (s & np.uint64(SIGNATURE - 1)).astype(np.int64), minlength=(j - i) * SIGNATURE).astype(np.int32)
+                keys = [set_key(s[a:z]) if z > a else None for a, z in zip(at[:-1].tolist(), at[1:].tolist())]
+                sigs = pa.ListArray.from_arrays(pa.array(np.arange(0, len(sig) + 1, SIGNATURE), pa.int32()), pa.array(sig))
+                yield pa.RecordBatch.from_arrays([b.column(0)[i:j], pa.array(n, pa.int64()), pa.array(keys, pa.int64()), sigs], ["id", "n", "key", "signature"])
+
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n long, key long, signature array<int>")
+
+
+def shingle_blocks(rows: DataFrame, k: int, shares: int) -> DataFrame:
+    """Per (block, share): the block's shingles of a range, ascending, and the place of each one's text in the block.
+
+    A shingle that FREQUENT texts of the block have is sent once, with the count in `many`; its texts go with the row of
+    share 0, as do the block's keys and sizes. A set that a task has met before is left out.
+    """
+
+    def block(keys: list, sizes: list, names: list, texts: list) -> pa.RecordBatch:
+        t, at = np.concatenate(names), np.concatenate(texts)
+        order = np.argsort(t, kind="stable")
+        t, at = t[order], at[order]
+        first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+        count = np.diff(np.append(first, len(t)))
+        often = np.repeat(count >= FREQUENT, count)
+        extra = _pack(np.concatenate([[len(keys), int(often.sum())], np.array(keys), np.array(sizes), t[often].astype(np.int64), at[often].astype(np.int64)]).astype(np.int64))
+        head = np.zeros(len(t), bool)
+        head[first] = True
+        use = ~often | head
+        many = np.where(often, np.repeat(count, count), 0)[use]
+        t, at = t[use], np.where(often, 0, at)[use]
+        wide = -(-(1 << NAME) // shares)
+        cuts = np.searchsorted(t, np.arange(shares + 1, dtype=np.uint64) * np.uint64(wide))
+        name, out = uuid.uuid4().hex, []
+        for x, (a, z) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())):
+            if z > a or x == 0:
+                out.append((name, x, _planes(np.diff(t[a:z], prepend=np.uint64(x * wide)), 5), _planes(at[a:z], 4), _planes(many[a:z], 4), extra if x == 0 else None))
+        kinds = (pa.string(), pa.int32(), *[pa.binary()] * 4)
+        return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], ["block", "share", "names", "texts", "many", "extra"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told, seen = table.value, set()
+        seen, keys, sizes, names, texts, held = set(), [], [], [], [], 0
         for b in batches:
             data, offsets = text_buffer(b.column(1))
-            ids = b.column(0)
             for i, j in chunks(offsets):
                 s, at = shingle_sets(data, offsets, i, j, k)
-                rank = told[_bucket(s)]
-                sig = (s & np.uint64(SIGNATURE - 1)).astype(np.int64)
-                n, keys, lists, places, shares, sigs = [], [], [], [], [], []
                 for a, z in zip(at[:-1].tolist(), at[1:].tolist()):
-                    size = z - a
-                    n.append(size)
-                    key = set_key(s[a:z]) if size else None
-                    keys.append(key)
-                    if not size or key in seen:
-                        lists.append(None), places.append(None), shares.append(None), sigs.append(None)
+                    key = set_key(s[a:z]) if z > a else None
+                    if key is None or key in seen:
                         continue
                     seen.add(key)
-                    r = rank[a:z]
-                    order = np.argsort(r, kind="stable")[: prefix_length(size, percent)]  # equal counts: by hash
-                    use = np.flatnonzero(r[order] > 0)
-                    lists.append(s[a:z][order[use]].view(np.int64))
-                    places.append(use.astype(np.int32))
-                    shares.append((1 + np.exp2(r[order[use]] / 8) // SHARE).astype(np.int32))
-                    sigs.append(np.bincount(sig[a:z], minlength=SIGNATURE).astype(np.int32))
-                kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([ids[i:j], *(pa.array(c, t) for c, t in zip((n, keys, lists, places, shares, sigs), kinds))], ["id", "n", "key", "shingles", "places", "shares", "signature"])
+                    names.append(s[a:z] >> np.uint64(64 - NAME))
+                    texts.append(np.full(z - a, len(keys), np.uint32))
+                    keys.append(key)
+                    sizes.append(z - a)
+                    held += z - a
+                if held >= HELD:
+                    yield block(keys, sizes, names, texts)
+                    keys, sizes, names, texts, held = [], [], [], [], 0
+        if held:
+            yield block(keys, sizes, names, texts)
+
+    return rows.mapInArrow(run, "block string, share int, names binary, texts binary, many binary, extra binary")
+
+
+def count_shares(blocks: DataFrame, shares: int) -> DataFrame:
+    """For each (block, share), what of it occurs in two texts or more: names, texts, many, and the number of texts."""
+    wide = -(-(1 << NAME) // shares)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        start = np.uint64(int(pdf["share"].iloc[0]) * wide)
+        names = [np.cumsum(_numbers(x, 5), dtype=np.uint64) + start for x in pdf["names"]]
+        many = [_numbers(x, 4) for x in pdf["many"]]
+        t, n = np.concatenate(names), np.maximum(np.concatenate(many), 1)
+        order = np.argsort(t, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], t[order][1:] != t[order][:-1]])) if len(t) else np.zeros(0, np.int64)
+        total = np.add.reduceat(n[order], first) if len(t) else n
+        df = np.empty(len(t), np.uint64)
+        df[order] = np.repeat(total, np.diff(np.append(first, len(t))))
+        out, ends = [], np.cumsum([len(x) for x in names])
+        for block, a, z, at, m, extra in zip(pdf["block"], [0, *ends], ends, pdf["texts"], many, pdf["extra"]):
+            live = df[a:z] > 1
+            out.append((block, _planes(np.diff(t[a:z][live], prepend=start), 5), _planes(_numbers(at, 4)[live], 4), _planes(m[live], 4), _planes(df[a:z][live], 5), int(start), extra))
+        return pd.DataFrame(out, columns=["block", "names", "texts", "many", "df", "start", "extra"])
+
+    return blocks.groupBy("share").applyInPandas(run, "block string, names binary, texts binary, many binary, df binary, start long, extra binary")
+
+
+def prefix_lists(rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """Entries of the prefix lists: h (shingle), key, n, p (place in the order), shares."""
+    shares = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = count_shares(shingle_blocks(rows, k, shares), shares)
+
+    def texts_of(parts: list[tuple], extra: bytes) -> pa.RecordBatch:
+        x = _unpack(extra, np.int64)
+        c, o = int(x[0]), int(x[1])
+        keys, sizes = x[2 : 2 + c], x[2 + c : 2 + 2 * c]
+        hot, hot_at = x[2 + 2 * c : 2 + 2 * c + o].astype(np.uint64), x[2 + 2 * c + o :]
+        cat = lambda i, kind: np.concatenate([p[i] for p in parts]).astype(kind) if parts else np.zeros(0, kind)
+        t, at, many, df = cat(0, np.uint64), cat(1, np.int64), cat(2, np.int64), cat(3, np.int64)
+        often = many > 0
+        if o:  # the frequent ones' texts, with the numbers that have come back
+            asc = np.argsort(t[often])
+            told, number = t[often][asc], df[often][asc]
+            t, at, df = np.concatenate([t[~often], hot]), np.concatenate([at[~often], hot_at]), np.concatenate([df[~often], number[np.searchsorted(told, hot)]])
+        order = np.lexsort((t, df, at))
+        t, at, df = t[order], at[order], df[order]
+        live = np.bincount(at, minlength=c)
+        inside = np.arange(len(t)) - np.repeat(np.cumsum(live) - live, live)
+        place = inside + (sizes - live)[at]  # what occurs once comes before
+        length = sizes - -(-percent * sizes // 100) + 1
+        use = place < length[at]
+        cols = [t[use].astype(np.int64), keys[at[use]], sizes[at[use]], place[use].astype(np.int32), (1 + df[use] // SHARE).astype(np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in cols], ["h", "key", "n", "p", "shares"])
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, n long, key long, shingles array<long>, places array<int>, shares array<int>, signature array<int>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts, extra = None, [], None
+        for b in batches:
+            for r in zip(*(b.column(i).to_pylist() for i in range(7))):
+                if r[0] != now:
+                    if now is not None:
+                        yield texts_of(parts, extra)
+                    now, parts, extra = r[0], [], None
+                parts.append((np.cumsum(_numbers(r[1], 5), dtype=np.uint64) + np.uint64(r[5]), _numbers(r[2], 4), _numbers(r[3], 4), _numbers(r[4], 5)))
+                extra = r[6] or extra
+        if now is not None:
+            yield texts_of(parts, extra)
+
+    return counted.repartition("block").sortWithinPartitions("block").mapInArrow(run, "h long, key long, n long, p int, shares int")
 
 
 def _alpha(a: str, b: str, percent: int) -> Column:
@@ -173,33 +247,59 @@ def _length_and_place(percent: int) -> Column:
     return length & (most >= _alpha("na", "nb", percent))
 
 
+def _suffix(percent: int) -> Column:
+    """Suffix filter: sets with signatures sa and sb, counted by bucket, could still meet often enough."""
+    most = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    return most >= _alpha("na", "nb", percent)
+
+
 def suffix_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sets, counted by bucket, could still meet often enough."""
+    """Pairs (a, b) that pass the suffix filter."""
     of = lambda c: classes.select(F.col("key").alias(c), F.col("n").alias("n" + c), F.col("signature").alias("s" + c))
-    both = pairs.join(of("a"), "a").join(of("b"), "b")
-    most = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-    return both.where(most >= _alpha("na", "nb", percent)).select("a", "b")
+    return pairs.join(of("a"), "a").join(of("b"), "b").where(_suffix(percent)).select("a", "b")
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A bit for each key modulo FILTER: FILTER / 8 bytes, put together from at most 64 parts."""
+    wide = FILTER // 64
 
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(wide // 8, np.uint8)
+        at = pdf["at"].to_numpy() % wide
+        np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "bits": [_pack(bits)]})
 
-def verify(rows: DataFrame, classes: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked. Sets of the classes in question are made again from one text of each; each
-    pair's second set is sent to its first, and compared there as it comes."""
+    at = keys.select(F.pmod("key", F.lit(FILTER)).cast("long").alias("at")).distinct()  # FILTER rows at most
+    found = at.withColumn("part", F.floor(F.col("at") / wide).cast("int")).groupBy("part").applyInPandas(run, "part int, bits binary").collect()
+    out = np.zeros(FILTER // 8, np.uint8)
+    for r in found:
+        out[r["part"] * wide // 8 : (r["part"] + 1) * wide // 8] = _unpack(r["bits"], np.uint8)
+    return out
+
+
+def verify(rows: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that are linked. Sets of the classes in question are made again from the texts, which a filter of
+    fixed size chooses without moving them; each pair's second set is sent to its first, and compared there as it comes."""
     pairs = materialize(pairs, "pairs")
     keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    need = classes.join(keys, "key", "left_semi").select(F.col("id").alias("__id")).distinct()
-    texts = rows.join(need, rows["id"].eqNullSafe(need["__id"]), "left_semi").select("id", "text")
+    chosen = rows.sparkSession.sparkContext.broadcast(key_filter(keys))  # FILTER bits, whatever the input
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
+        seen, bits = set(), chosen.value
         for b in batches:
             data, offsets = text_buffer(b.column(1))
             for i, j in chunks(offsets):
                 s, at = shingle_sets(data, offsets, i, j, k)
-                made = [(set_key(s[a:z]), s[a:z].tobytes()) for a, z in zip(at[:-1].tolist(), at[1:].tolist()) if z > a]
-                made = [m for m in made if not (m[0] in seen or seen.add(m[0]))]
+                made = []
+                for a, z in zip(at[:-1].tolist(), at[1:].tolist()):
+                    key = set_key(s[a:z]) if z > a else None
+                    if key is not None and key not in seen and bits[(key % FILTER) >> 3] >> (key & 7) & 1:
+                        seen.add(key)
+                        made.append((key, s[a:z].tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.binary())], ["key", "set"])
 
-    sets = materialize(texts.mapInArrow(sets_of, "key long, set binary").join(keys, "key", "left_semi").dropDuplicates(["key"]), "sets")
+    sets = rows.mapInArrow(sets_of, "key long, set binary").join(keys, "key", "left_semi").dropDuplicates(["key"])
+    sets = materialize(sets, "sets")
     owners = pairs.select(F.col("a").alias("key")).distinct().join(sets, "key").select(F.col("key").alias("a"), F.lit(None).cast("long").alias("b"), "set")
     others = pairs.join(sets.withColumnRenamed("key", "b"), "b").select("a", "b", "set")
     ordered = owners.unionByName(others).repartition("a").sortWithinPartitions("a", F.col("b").asc_nulls_first())
@@ -246,11 +346,9 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.greatest(a, b).alias("a"), F.least(a, b).alias("b")]
 
 
-def link_classes(rows: DataFrame, table: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+def link_classes(rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """(key, component) of all classes that are linked with another."""
-    entry = F.arrays_zip("shingles", "places", "shares")
-    posts = table.where("shingles IS NOT NULL").select("key", "n", F.explode(entry).alias("e"))
-    posts = posts.select(F.col("e.shingles").alias("h"), "key", "n", F.col("e.places").alias("p"), F.col("e.shares").alias("shares"))
+    posts = prefix_lists(rows, k, percent)
     posts = posts.withColumn("share", F.pmod(F.xxhash64("key"), F.col("shares")).cast("int"))
     one = F.struct(F.xxhash64("key", "h").alias("o"), "key", "n", "p")
 
@@ -263,22 +361,25 @@ def link_classes(rows: DataFrame, table: DataFrame, classes: DataFrame, k: int,
     star = lambda df: df.where("key <> leader.key").select(F.col("key").alias("ka"), F.col("leader.key").alias("kb"), F.col("n").alias("na"), F.col("leader.n").alias("nb"), F.col("p").alias("pa"), F.col("leader.p").alias("pb"))
     first = star(live).unionByName(star(again)).where(_length_and_place(percent)).select(*_pair("ka", "kb")).distinct()
     first = materialize(suffix_filter(first, classes, percent), "stars")
-    links = verify(rows, classes, first, k, percent)
+    links = verify(rows, first, k, percent)
     found = materialize(components(links), "components")
 
     # Lists of three entries or more can hold pairs that no leader has been in.
     rest = live.where("entries > 2 OR shares > 1").select("h", "key", "n", "p").join(found, "key", "left")
     rest = rest.withColumn("component", F.coalesce("component", "key"))
     mixed = rest.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("h")
-    rest = materialize(rest.join(mixed, "h", "left_semi"), "mixed")
+    # Signatures come along, so that the join itself gives only pairs that pass all filters.
+    rest = materialize(rest.join(mixed, "h", "left_semi").join(classes.select("key", "signature"), "key"), "mixed")
     # Sizes of a pair are in the same or neighbouring steps of the threshold, so the step is a second key.
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    left = rest.select("h", F.col("key").alias("ka"), F.col("n").alias("na"), F.col("p").alias("pa"), F.col("component").alias("ca"), F.explode(F.array(step, step + 1)).alias("step"))
-    right = rest.select("h", F.col("key").alias("kb"), F.col("n").alias("nb"), F.col("p").alias("pb"), F.col("component").alias("cb"), step.alias("step"))
+    side = lambda x: [F.col("key").alias("k" + x), F.col("n").alias("n" + x), F.col("p").alias("p" + x), F.col("component").alias("c" + x), F.col("signature").alias("s" + x)]
+    left = rest.select("h", *side("a"), F.explode(F.array(step, step + 1)).alias("step"))
+    right = rest.select("h", *side("b"), step.alias("step"))
     small_first = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ka") < F.col("kb")))
-    second = left.join(right, ["h", "step"]).where((F.col("ca") != F.col("cb")) & small_first & _length_and_place(percent)).select(*_pair("ka", "kb")).distinct()
+    close = (F.col("ca") != F.col("cb")) & small_first & _length_and_place(percent) & _suffix(percent)
+    second = left.join(right, (left["h"] == right["h"]) & (left["step"] == right["step"]) & close).select(*_pair("ka", "kb")).distinct()
     second = second.join(first, ["a", "b"], "left_anti")
-    more = verify(rows, classes, suffix_filter(second, classes, percent), k, percent)
+    more = verify(rows, second, k, percent)
     if more.isEmpty():
         return found
     tree = found.where("key <> component").select(F.col("key").alias("a"), F.col("component").alias("b"))
@@ -288,11 +389,11 @@ def link_classes(rows: DataFrame, table: DataFrame, classes: DataFrame, k: int,
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row: id, n_shingles, component_id (the smallest id reachable by links, itself included)."""
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    table = materialize(prefixes(rows, k, percent), "prefixes")
+    table = materialize(sets_table(rows, k), "table")
     # A class: its least id, its size and signature.
     classes = table.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.max("signature").alias("signature"))
     classes = materialize(classes, "classes")
-    linked = link_classes(rows, table, classes, k, percent)
+    linked = link_classes(rows, classes, k, percent)
     least = classes.select("key", "id").join(linked, "key", "left").withColumn("component", F.coalesce("component", "key"))
     smallest = least.groupBy("component").agg(F.min("id").alias("component_id"))
     named = least.join(smallest, "component").select(F.col("key").alias("__key"), "component_id")
