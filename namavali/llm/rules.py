@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS
+from .common import materialize
 
 #: Very frequent function words of English, French, German and Spanish.
 STOP_WORDS = (
@@ -142,7 +142,13 @@ def quality_rules(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def filter_quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = THRESHOLDS) -> DataFrame:
-    """The rows that pass, with their columns as they were; a projection and a filter, no join."""
-    cols = df.columns
-    m = measures(df, id_col, text_col, keep=cols)
-    return m.where(~base_failed() & verdict(rules)).select(*[F.col(f"__in_{k}").alias(c) for k, c in enumerate(cols)])
+    """The rows that pass, with their columns as they were.
+
+    Verdicts are written as a small table first: a filter on the measures would be pushed into their projection and make
+    every measure again and again. Rows are found again by id and a hash of the text.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    m = measures(df.select(F.col(id_col), F.col(text_col), F.xxhash64(text).alias("__hash")), id_col, text_col, keep=["__hash"])
+    told = materialize(m.select(F.col("__id").alias("__kid"), F.col("__in_0").alias("__khash"), (~base_failed() & verdict(rules)).alias("__kept")), "verdicts")
+    kept = told.where("__kept").select("__kid", "__khash").distinct()
+    return df.join(kept, df[id_col].eqNullSafe(kept["__kid"]) & (F.xxhash64(F.coalesce(df[text_col], F.lit(""))) == kept["__khash"]), "left_semi")
