@@ -112,7 +112,7 @@ class PdfPagesSource(DataSource):
     """`spark.read.format("pdf_pages").load(folder)` after `spark.dataSource.register(PdfPagesSource)`.
 
     Options: path (a folder of all machines), reader ("module:class"). One partition a file; filters on page_num are
-    pushed, so other pages are not decoded.
+    pushed, so other pages are not decoded. The session needs spark.sql.python.filterPushdown.enabled = true.
     """
 
     @classmethod

@@ -169,6 +169,7 @@ def test_folder(spark, tmp_path):
 
 def test_data_source(spark, tmp_path):
     (tmp_path / "a.pdf").write_text("one\ftwo\fthree")
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PdfPagesSource)
     df = spark.read.format("pdf_pages").option("reader", "tests.test_engine:Stub").option("path", str(tmp_path)).load()
     assert [(r.page_num, r.text) for r in df.orderBy("page_num").collect()] == [(1, "one"), (2, "two"), (3, "three")]
