@@ -1,8 +1,9 @@
 """Secret scans: pattern kinds, and a token-efficiency test that exposes random strings.
 
-A string that a tokenizer's vocabulary has not met splits into many short tokens. Runs of `RUN` characters that mix
-letters and digits are encoded, and those with at most `ratio` characters a token are reported as kind `random`, unless
-they are known digests (hexadecimal of a digest's length), UUIDs, numbers or dates, or lie in a span already found.
+A string that a tokenizer's vocabulary has not met splits into many short tokens. All runs of `RUN` characters are
+encoded, whatever they are made of, and those with at most `ratio` characters a token (a share of it for short runs, see
+`SHARES`) are reported as kind `random`, unless they are known digests (hexadecimal of a digest's length), UUIDs, numbers
+or dates, or overlap a span already found. Runs of fewer than 12 characters are not tested.
 
 Defined results: a null or empty text has no spans; every row is judged by itself, so repeated rows repeat; an empty
 table gives an empty table; only the id and the text are read. Whole texts are scanned, however long.
@@ -26,7 +27,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # maximal runs, so a least length in the pattern finds the same ones
 #: What the token test looks at.
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+#: Least length of a run and the share of `ratio` that holds from there: rare words come close to it in short runs.
+SHARES = ((20, 1.0), (16, 0.95), (12, 0.85))
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
@@ -66,12 +69,10 @@ def random_spans(text: str, found: list[tuple[int, int, int]], count: Callable[[
     out = []
     for m in RUN.finditer(text):
         run = m.group()
-        digits = sum(c.isdigit() for c in run)
-        if digits < 3 or digits == len(run) or not any(c.isalpha() for c in run) or is_known(run):
+        if is_known(run) or any(a < m.end() and m.start() < b for a, _, b in found):
             continue
-        if any(a < m.end() and m.start() < b for a, _, b in found):
-            continue
-        if len(run) <= ratio * count(run):
+        share = next(x for n, x in SHARES if len(run) >= n)
+        if len(run) <= share * ratio * count(run):
             out.append((m.start(), 3, m.end()))
     return out
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import string
 
 import pytest
 from pyspark.sql import functions as F
@@ -206,6 +207,19 @@ def test_mask(spark):
     assert all(plain_secrets(t) == "" for t in got.values())
 
 
+def test_random_strings_need_no_digits():
+    """Random strings of letters alone, with few digits or of 12 to 19 characters are found; words and names are not."""
+    enc = secrets.encoder(queries.vocabulary("byte_bpe_50k.tiktoken"), queries.pattern())
+    found = lambda t: secrets.scan(t, lambda s: len(enc.encode_ordinary(s)), 2.0)
+    r = random.Random(12)
+    letters, few = string.ascii_letters, string.ascii_letters + "01"
+    for size, least in ((12, 0.8), (16, 0.97), (20, 0.99), (24, 0.99), (32, 0.99)):
+        for kind in (letters, few, letters + string.digits, letters + string.digits + "+/"):
+            made = ["".join(r.choices(kind, k=size)) for _ in range(300)]
+            assert sum(len(found(f"key {x} end")) > 0 for x in made) >= least * 300, (size, kind)
+    assert found("internationalization Grundstücksverkehrsgenehmigung getElementsByClassName /usr/local/lib/python3 2024-01-01/2024-12-31 ======================") == []
+
+
 # ---- byte-level BPE --------------------------------------------------------------------------------------------------
 
 
