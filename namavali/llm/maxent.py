@@ -1,13 +1,15 @@
 """Language-model scoring by a hashed maximum-entropy model.
 
-P(word | history) = P(class | history) * P(word | class). The class has a softmax over hashed features of the history:
-the last word, the last two, and the words before last alone (skips). A word's class is its own if it is among the
+P(word | history) = P(class | history) * P(word | class). The class has a softmax over features of the history: the last
+word, the last two, and the words before last alone (skips). Features are 64-bit hashes; each has a weight for every
+class it was seen with in training, and none for the others, so the weights grow with the input. A word's class is its own if it is among the
 most frequent, and else follows from its last bytes; within a class words have add-half estimates, with one place for
 all unknown words, so the model's probabilities sum to one.
 
 Blocks of texts list their distinct words as 64-bit hashes; lists meet by share of the hashes, where all training counts
-are added, and go back to the blocks. Training is data-parallel: in each round every task takes the shared weights
-through its blocks by sparse gradient steps, and the changes are averaged by tokens. Weights have a fixed size.
+are added, and go back to the blocks. Features meet by share of their hashes in the same way and give each block the
+weights of its features. In each round all blocks send the classes they expect and those they have seen for each
+feature, and the share moves the weight by the logarithm of their ratio (iterative scaling). No task holds all weights.
 
 Defined results: a null text counts as empty and has its end token only; rows repeat as they come; with no training
 rows all counts are 0; an empty table gives an empty table; only the id and the text are read.
@@ -26,15 +28,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, fold, materialize, mix, text_buffer, word_hashes, words
+from .common import _remove, chunks, fold, materialize, mix, text_buffer, word_hashes, words
 
 #: Bytes of text in a block.
 BLOCK = 6_000_000
 #: Classes: the end, the most frequent words, and buckets of the others by their last two bytes.
 OWN, SUFFIXES = 15, 24
 CLASSES = 1 + OWN + SUFFIXES
-#: Rows of the weight matrix; features a token; tokens of a gradient step.
-ROWS, ACTIVE, STEP = 1 << 15, 4, 8192
+#: Features a token; tokens taken at once; tokens that the classes' own frequencies count for beside a feature's.
+ACTIVE, STEP, PRIOR = 4, 8192, 1.0
 END = np.uint64(0x5DEECE66D1234567)
 _START = np.uint64(0x2545F4914F6CDD1D)
 _SEED = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
@@ -173,35 +175,37 @@ def vocabulary(told: list[bytes]) -> Vocabulary:
     return Vocabulary(n, v, ends, own[order], (order + 1).astype(np.int64), class_tokens, class_words)
 
 
-def contexts(h: np.ndarray, sizes: np.ndarray, rows: int = ROWS) -> np.ndarray:
-    """The weight rows of each token's features: (tokens, ACTIVE)."""
+def contexts(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The features of each token as 64-bit hashes: (tokens, ACTIVE)."""
     at = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     back = [np.where(at >= k, np.concatenate([np.full(min(k, len(h)), _START), h[: max(0, len(h) - k)]]), _START) for k in (1, 2, 3)]
     with np.errstate(over="ignore"):
         made = (back[0] * _SEED[0], back[0] * _SEED[1] + mix(back[1]), back[1] * _SEED[2], back[2] * _SEED[3])
-        return np.stack([(mix(x + s) % np.uint64(rows)).astype(np.int32) for x, s in zip(made, _SEED)], 1)
+        return np.stack([mix(x + s) for x, s in zip(made, _SEED)], 1)
 
 
-def log_softmax(weights: np.ndarray, bias: np.ndarray, f: np.ndarray) -> np.ndarray:
-    z = weights[f[:, 0]]
-    for k in range(1, f.shape[1]):
-        z += weights[f[:, k]]
-    z += bias
+def spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... of each of the runs of n."""
+    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+
+
+def log_softmax(bias: np.ndarray, token: np.ndarray, cls: np.ndarray, w: np.ndarray, tokens: int) -> np.ndarray:
+    """token, cls and w list the weights that meet at the tokens."""
+    z = np.bincount(token * CLASSES + cls, w, tokens * CLASSES).reshape(tokens, CLASSES) + bias
     z -= z.max(1, keepdims=True)
     return z - np.log(np.exp(z).sum(1, keepdims=True))
 
 
-def gradient_step(weights: np.ndarray, bias: np.ndarray, f: np.ndarray, cls: np.ndarray, rate: float) -> None:
-    """One sparse step in place: each touched row moves by the mean gradient of the tokens that touch it."""
-    g = np.exp(log_softmax(weights, bias, f))
-    g[np.arange(len(cls)), cls] -= 1
-    bias -= 0.2 * rate * g.mean(0)
-    for k in range(f.shape[1]):
-        order = np.argsort(f[:, k], kind="stable")
-        r = f[order, k]
-        first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-        n = np.diff(np.append(first, len(r))).astype(np.float32)
-        weights[r[first]] -= rate * np.add.reduceat(g[order], first, axis=0) / (n + 3)[:, None]
+def steps(bias: np.ndarray, at: np.ndarray, first: np.ndarray, n: np.ndarray, cls: np.ndarray, w: np.ndarray) -> Iterator[tuple]:
+    """Tokens by STEP: where they begin, log probabilities, and the tokens and places of the weights that meet.
+
+    at: (tokens, ACTIVE) places of the features; first and n: where a feature's weights lie."""
+    for a in range(0, len(at), STEP):
+        f = at[a : a + STEP].ravel()
+        m = len(f) // ACTIVE
+        e = spread(first[f], n[f])
+        token = np.repeat(np.repeat(np.arange(m), ACTIVE), n[f])
+        yield a, log_softmax(bias, token, cls[e], w[e], m), token, e
 
 
 def _read(b: pa.RecordBatch) -> Iterator[tuple]:
@@ -214,10 +218,105 @@ def _read(b: pa.RecordBatch) -> Iterator[tuple]:
             _unpack(block["places"], np.uint32),
             _unpack(block["names"], np.uint64),
             _unpack(block["buckets"], np.uint8),
-            _unpack(block["counts"], np.int64),
+            _unpack(block["counts"], np.int64) if block["counts"] else None,
         )
 
 
+def feature_lists(blocks: DataFrame, v: Vocabulary, shares: int) -> DataFrame:
+    """For each block and share: the block's features, how many classes each was seen with in training, these, and counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, (_, held, sizes, places, names, buckets, _) in zip(batch.column(0).to_pylist(), _read(batch)):
+                feats, at = np.unique(contexts(names[places], sizes), return_inverse=True)
+                use = np.repeat(~held, sizes)
+                cls = v.classes(names, buckets)[places][use]
+                pairs, seen = np.unique((at.reshape(-1, ACTIVE)[use] * CLASSES + cls[:, None]).ravel(), return_counts=True)
+                share = ((feats >> np.uint64(32)) * np.uint64(shares)) >> np.uint64(32)
+                cuts = np.searchsorted(share, np.arange(shares + 1))
+                n = np.bincount(pairs // CLASSES, minlength=len(feats)).astype(np.uint8)
+                ends = np.searchsorted(pairs, cuts * CLASSES)
+                for k, (a, z, i, j) in enumerate(zip(cuts, cuts[1:], ends, ends[1:])):
+                    if z > a:
+                        cols = [key], [k], [_pack(feats[a:z])], [_pack(n[a:z])], [_pack((pairs[i:j] % CLASSES).astype(np.uint8))], [_pack(seen[i:j].astype(np.uint32))]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), *[pa.binary()] * 4))], ["block", "share", "f", "n", "c", "seen"])
+
+    return blocks.mapInArrow(run, "block string, share int, f binary, n binary, c binary, seen binary")
+
+
+#: Features are told as places among the share's, in order, which is the order in their block as well.
+_ROWS = "block string, share int, f binary, n binary, c binary, w binary"
+
+
+def _places(at: np.ndarray) -> bytes:
+    return _pack(np.diff(at, prepend=0).astype(np.uint32))
+
+
+def start_weights(lists: DataFrame, bias: np.ndarray) -> DataFrame:
+    """For each block and share, all weights of the block's features: at first an equal part of what each would say alone."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        f = [_unpack(x, np.uint64) for x in pdf["f"]]
+        feats, at = np.unique(np.concatenate(f), return_inverse=True)
+        n = np.concatenate([_unpack(x, np.uint8) for x in pdf["n"]])
+        c = np.concatenate([_unpack(x, np.uint8) for x in pdf["c"]])
+        pairs, where = np.unique(np.repeat(at, n) * CLASSES + c, return_inverse=True)
+        seen = np.bincount(where, np.concatenate([_unpack(x, np.uint32) for x in pdf["seen"]]), len(pairs))
+        mine, cls = pairs // CLASSES, pairs % CLASSES
+        total, p = np.bincount(mine, seen, len(feats)), np.exp(bias.astype(np.float64))
+        w = (np.log((seen + PRIOR * p[cls]) / ((total[mine] + PRIOR) * p[cls])) / ACTIVE).astype(np.float16)
+        num = np.bincount(mine, minlength=len(feats))
+        first = np.cumsum(num) - num
+        rows = []
+        for b, s, x in zip(pdf["block"], pdf["share"], np.split(at, np.cumsum([len(x) for x in f])[:-1])):
+            e = spread(first[x], num[x])
+            rows.append((b, s, _places(x), _pack(num[x].astype(np.uint8)), _pack(cls[e].astype(np.uint8)), _pack(w[e])))
+        return pd.DataFrame(rows, columns=["block", "share", "f", "n", "c", "w"])
+
+    return lists.groupBy("share").applyInPandas(run, _ROWS)
+
+
+def moved_weights(told: DataFrame, pace: float) -> DataFrame:
+    """The weights after a round: each moves by the logarithm of seen over expected, of all blocks, one added to both."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        read = lambda col, kind: [_unpack(x, kind) for x in pdf[col]]
+        at = np.concatenate([np.cumsum(x, dtype=np.int64) for x in read("f", np.uint32)])
+        c = read("c", np.uint8)
+        pairs, first, where = np.unique(np.repeat(at, np.concatenate(read("n", np.uint8))) * CLASSES + np.concatenate(c), return_index=True, return_inverse=True)
+        seen = np.bincount(where, np.concatenate(read("seen", np.uint32)), len(pairs))
+        hoped = np.bincount(where, np.concatenate(read("hoped", np.float16)).astype(np.float64) ** 2, len(pairs))
+        w = (np.concatenate(read("w", np.float16))[first] + pace * np.log((seen + 1) / (hoped + 1))).astype(np.float16)
+        out = pdf[["block", "share", "f", "n", "c"]].copy()
+        out["w"] = [_pack(x) for x in np.split(w[where], np.cumsum([len(x) for x in c])[:-1])]
+        return out
+
+    return told.groupBy("share").applyInPandas(run, _ROWS)
+
+
+def _with_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Blocks with the rows of their weights, from what join_weights gives."""
+    rows = []
+    for b in batches:
+        for r in range(b.num_rows):
+            one = b.slice(r, 1)
+            if one.column("kind")[0].as_py() == 0:
+                rows.append({k: one.column(k)[0].as_py() for k in ("share", "f", "n", "c", "w")})
+                continue
+            key, block = one.column("block")[0].as_py(), next(_read(one))
+            cat = lambda k, kind: np.concatenate([_unpack(x[k], kind) for x in rows])  # noqa: B023, E731
+            n, cls, w = cat("n", np.uint8).astype(np.int64), cat("c", np.uint8), cat("w", np.float16).astype(np.float32)
+            at = np.unique(contexts(block[4][block[3]], block[2]), return_inverse=True)[1].reshape(-1, ACTIVE)
+            yield key, block, rows, at, np.cumsum(n) - n, n, cls, w
+            rows = []
+
+
+def join_weights(blocks: DataFrame, rows: DataFrame) -> DataFrame:
+    """Each block after the rows of its weights, by share."""
+    both = blocks.withColumn("kind", F.lit(1)).unionByName(rows.withColumn("kind", F.lit(0)), allowMissingColumns=True)
+    return both.repartition("block").sortWithinPartitions("block", "kind", "share")
+
+
 def join_counts(lists: DataFrame, counted: DataFrame) -> DataFrame:
     """A row for each block: its texts, dictionary, and counts."""
     told = counted.where("block IS NOT NULL").select("block", "share", F.lit(None).cast("array<bigint>").alias("ids"), F.lit(None).cast("array<boolean>").alias("held"), F.col("d").alias("a"), F.lit(None).cast("binary").alias("b"), F.lit(None).cast("binary").alias("c"), F.lit(1).alias("kind"))
@@ -242,85 +341,87 @@ def join_counts(lists: DataFrame, counted: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "block string, ids array<long>, held array<boolean>, sizes binary, places binary, names binary, buckets binary, counts binary")
 
 
-PARTS = 16
+def _keep(df: DataFrame, tag: str) -> DataFrame:
+    """materialize, and the shuffles of df are removed once it is written."""
+    conf, clear = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(clear)
+    conf.set(clear, "true")
+    try:
+        return materialize(df, tag)
+    finally:
+        conf.set(clear, before)
+
+
+def _forget(*tables: DataFrame) -> None:
+    """Removes tables that nothing reads any more."""
+    for df in tables:
+        for path in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+            _remove(df.sparkSession, path)
 
 
-def train(blocks: DataFrame, v: Vocabulary, rounds: int = 2, rate: float = 0.5, rows: int = ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and bias. Each round goes through its share of the blocks (by name), all rounds through all blocks."""
-    weights = np.zeros((rows, CLASSES), np.float32)
-    p = (v.class_tokens + 0.5) / (v.class_tokens + 0.5).sum()
-    bias = np.log(p).astype(np.float32)
-    sc = blocks.sparkSession.sparkContext
+def class_bias(v: Vocabulary) -> np.ndarray:
+    return np.log((v.class_tokens + 0.5) / (v.class_tokens + 0.5).sum())
+
+
+def train(blocks: DataFrame, v: Vocabulary, shares: int, rounds: int = 2, rate: float = 0.5) -> DataFrame:
+    """Rows of the blocks' weights. Each round goes through all blocks."""
+    bias = class_bias(v)
+    rows = _keep(start_weights(feature_lists(blocks, v, shares), bias), "weights")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, (_, held, sizes, places, names, buckets, _), parts, at, first, n, cls, w in _with_weights(batches):
+            use = np.repeat(~held, sizes)
+            own, at = v.classes(names, buckets)[places][use], at[use]
+            seen, hoped = np.zeros(len(w), np.uint32), np.zeros(len(w), np.float32)
+            for a, z, token, e in steps(bias, at, first, n, cls, w):
+                np.add.at(hoped, e, np.exp(z[token, cls[e]]).astype(np.float32))
+                np.add.at(seen, e[cls[e] == own[a : a + STEP][token]], np.uint32(1))
+            i = 0
+            for r in parts:
+                j = i + len(_unpack(r["c"], np.uint8))
+                cols = [key], [r["share"]], [r["f"]], [r["n"]], [r["c"]], [r["w"]], [_pack(seen[i:j])], [_pack(np.sqrt(hoped[i:j]).astype(np.float16))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), *[pa.binary()] * 6))], ["block", "share", "f", "n", "c", "w", "seen", "hoped"])
+                i = j
+
     for k in range(rounds):
-        shared = sc.broadcast((weights, bias))  # ROWS * CLASSES floats, whatever the input
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared, pace=rate / (1 + k)) -> Iterator[pa.RecordBatch]:
-            w0, b0 = shared.value
-            w, b_, seen = w0.copy(), b0.copy(), 0
-            for batch in batches:
-                for _, held, sizes, places, names, buckets, _ in _read(batch):
-                    cls = v.classes(names, buckets)[places]
-                    f = contexts(names[places], sizes, rows)
-                    use = np.flatnonzero(np.repeat(~held, sizes))
-                    for a in range(0, len(use), STEP):
-                        at = use[a : a + STEP]
-                        gradient_step(w, b_, f[at], cls[at], pace)
-                    seen += len(use)
-            if seen:
-                change = np.concatenate([(w - w0).ravel(), b_ - b0]).astype(np.float32)
-                parts = np.array_split(change, PARTS)
-                yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array([seen] * PARTS, pa.int64()), pa.array([x.astype(np.float16).tobytes() for x in parts], pa.binary())], ["part", "seen", "change"])
-
-        def mean(pdf: pd.DataFrame) -> pd.DataFrame:
-            total, n = 0.0, 0
-            for seen, raw in zip(pdf["seen"], pdf["change"]):
-                total, n = total + seen * np.frombuffer(raw, np.float16).astype(np.float64), n + seen
-            return pd.DataFrame({"part": [pdf["part"].iloc[0]], "change": [(total / n).astype(np.float32).tobytes()]})
-
-        mine = blocks.where(F.pmod(F.crc32("block"), F.lit(rounds)) == k) if rounds > 1 else blocks
-        changes = mine.mapInArrow(run, "part int, seen long, change binary").groupBy("part").applyInPandas(mean, "part int, change binary").collect()
-        if changes:
-            change = np.concatenate([np.frombuffer(r["change"], np.float32) for r in sorted(changes, key=lambda r: r["part"])])
-            weights = weights + change[: weights.size].reshape(weights.shape)
-            bias = bias + change[weights.size :]
-        shared.unpersist()
-    return weights, bias
+        told = _keep(join_weights(blocks.withColumns({"ids": F.lit(None).cast("array<bigint>"), "counts": F.lit(None).cast("binary")}), rows).mapInArrow(run, f"{_ROWS}, seen binary, hoped binary"), "told")
+        _forget(rows)
+        rows = _keep(moved_weights(told, rate / (1 + k)), "weights")
+        _forget(told)
+    return rows
 
 
 def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held: int = 1, folds: int = 5, rounds: int = 2) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lists = materialize(list_blocks(df, id_col, text_col, held, folds, shares), "lists")
-    counted = materialize(count_words(lists), "counts")
+    lists = _keep(list_blocks(df, id_col, text_col, held, folds, shares), "lists")
+    counted = _keep(count_words(lists), "counts")
     v = vocabulary([bytes(r["d"]) for r in counted.where("block IS NULL").select("d").collect()])  # one short row a share
-    blocks = materialize(join_counts(lists, counted), "blocks")
-    weights, bias = train(blocks, v, rounds)
-    model = df.sparkSession.sparkContext.broadcast((weights, bias))
+    blocks = _keep(join_counts(lists, counted), "blocks")
+    _forget(lists, counted)
+    rows, bias = train(blocks, v, shares, rounds), class_bias(v)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, b_ = model.value
-        for batch in batches:
-            for ids, gone, sizes, places, names, buckets, counts in _read(batch):
-                cls = v.classes(names, buckets)
-                inside = v.inside(counts, cls)[places]
-                base = np.log10((counts + 0.5) / (v.tokens + 0.5 * (v.distinct + 1)))[places]
-                f, c = contexts(names[places], sizes, len(w)), cls[places]
-                for a in range(0, len(c), STEP):
-                    z = log_softmax(w, b_, f[a : a + STEP])
-                    inside[a : a + STEP] += z[np.arange(len(z)), c[a : a + STEP]] / np.log(10)
-                at = np.cumsum(sizes) - sizes
-                total = lambda x: pa.array(np.add.reduceat(x, at))  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids, pa.int64()),
-                        pa.array(gone),
-                        pa.array(sizes),
-                        pa.array(np.add.reduceat((counts > 0)[places].astype(np.int64), at)),
-                        pa.array(np.full(len(ids), v.tokens, np.int64)),
-                        total(base),
-                        total(inside.astype(np.float64)),
-                    ],
-                    [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
-
-    return blocks.mapInArrow(run, f"`{id_col}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        for _, (ids, gone, sizes, places, names, buckets, counts), _, at, first, n, kinds, w in _with_weights(batches):
+            cls = v.classes(names, buckets)
+            inside = v.inside(counts, cls)[places]
+            base = np.log10((counts + 0.5) / (v.tokens + 0.5 * (v.distinct + 1)))[places]
+            c = cls[places]
+            for a, z, _, _ in steps(bias, at, first, n, kinds, w):
+                inside[a : a + STEP] += z[np.arange(len(z)), c[a : a + STEP]] / np.log(10)
+            at = np.cumsum(sizes) - sizes
+            total = lambda x: pa.array(np.add.reduceat(x, at))  # noqa: B023, E731
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids, pa.int64()),
+                    pa.array(gone),
+                    pa.array(sizes),
+                    pa.array(np.add.reduceat((counts > 0)[places].astype(np.int64), at)),
+                    pa.array(np.full(len(ids), v.tokens, np.int64)),
+                    total(base),
+                    total(inside.astype(np.float64)),
+                ],
+                [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
+
+    return join_weights(blocks, rows).mapInArrow(run, f"`{id_col}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

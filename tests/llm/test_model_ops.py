@@ -130,6 +130,13 @@ def test_maxent(spark):
     assert maxent.score_texts(documents(spark, [])).count() == 0
 
 
+def test_maxent_features_grow():
+    """Distinct words before a token are distinct features, however many there are."""
+    words = np.arange(1, 200_001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    f = maxent.contexts(words, np.array([len(words)]))
+    assert len(np.unique(f[:, 0])) == len(words) and len(np.unique(f)) > 3 * len(words)
+
+
 def test_maxent_sums_to_one():
     v = maxent.vocabulary([np.array([3, *([0] * 23), 10, *([0] * 23), 3, 4, 23, 5], np.int64).tobytes()])
     names, counts = np.array([5, 6, 7, maxent.END], np.uint64), np.array([4, 3, 3, 3])
