@@ -289,6 +289,13 @@ SELECT page_id, x0::DOUBLE, y0::DOUBLE, x1::DOUBLE, y1::DOUBLE FROM cells WHERE
     "report_rejects": f"""{_WITH}, e AS (SELECT *, row_number() OVER (ORDER BY pdf_file, page_num, block_no, name, reason) AS item FROM rejected),
 x AS (SELECT item, ['--- Rejected #' || item || ' ---', 'File: ' || pdf_file, 'Page: ' || page_num, 'Name: ' || name, 'Reason: ' || reason] AS l FROM e)
 SELECT 2 AS section, item, i::INT AS line_no, l[i + 1] AS line FROM x, unnest(range(len(l))) AS u(i)""",
+    "report_errors": f"""{_WITH}, b AS (SELECT pdf_file, page_num, block_no, raw_text, reason FROM failed
+  UNION ALL SELECT pdf_file, page_num, 0, '', 'No text could be read from the page' FROM roll WHERE coalesce({strip('text')} = '', true)),
+e AS (SELECT *, row_number() OVER (ORDER BY pdf_file, page_num, block_no) AS item FROM b),
+r AS (SELECT *, row_number() OVER (ORDER BY pdf_file, page_num, block_no, name, reason) AS item FROM rejected),
+x AS (SELECT 1 AS section, item, ['--- Error #' || item || ' ---', 'File: ' || pdf_file, 'Page: ' || page_num, 'Reason: ' || reason, 'Raw Text:', raw_text] AS l FROM e
+  UNION ALL SELECT 2, item, ['--- Rejected #' || item || ' ---', 'File: ' || pdf_file, 'Page: ' || page_num, 'Name: ' || name, 'Reason: ' || reason] FROM r)
+SELECT section, item, i::INT AS line_no, l[i + 1] AS line FROM x, unnest(range(len(l))) AS u(i)""",
     "report_cross_file": f"""{_WITH}, {_SOURCES}, c AS (SELECT *, row_number() OVER (ORDER BY n_pdfs DESC, normalized) AS item FROM sources WHERE n_pdfs > 1),
 x AS (SELECT 2 AS section, item, list_concat([normalized, '  Found in ' || n_pdfs || ' PDF(s):'], list_transform(string_split(pdfs, ','), lambda p: '    - ' || p)) AS l FROM c
   UNION ALL SELECT 1, 0, ['CROSS-FILE FIRST NAMES REPORT', 'Names appearing in multiple PDF files: ' || count(*)] FROM c HAVING count(*) > 0)

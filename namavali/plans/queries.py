@@ -470,3 +470,10 @@ def report_rejects(s: SparkSession, d: str) -> DataFrame:
     return reports.error_report(e, rejected_names(s, d)).where("section = 2")
 
 
+@query
+def report_errors(s: SparkSession, d: str) -> DataFrame:
+    """The whole log: errors of blocks and pages, then rejected names."""
+    pages = page_errors(s, d).withColumn("block_no", F.lit(0)).withColumn("raw_text", F.lit(""))
+    return reports.error_report(block_errors(s, d).unionByName(pages), rejected_names(s, d))
+
+

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from namavali.operators import clusters, dedup, duplicates, extract, reports, validate
-from namavali.plans import pipeline
+from namavali.plans import pipeline, queries
 from namavali.sources import sinks
 from namavali.sources.pages import PdfPagesSource, read_names, read_pages
 from namavali.sources.tables import with_sequence
@@ -209,3 +209,10 @@ def test_bad_arguments(argv):
 def test_arguments():
     a = pipeline.arguments(["-f", "x", "--dedup-window", "0", "-a", "both"])
     assert (a.start, a.end, a.dedup_window, a.output, a.add_correction) == (3, 32, 1000, "./output", "both")
+
+
+def test_report_errors_has_errors_and_rejects(spark):
+    d = "/root/testdata/sf0.001"
+    heads = queries.report_errors(spark, d).where("line_no = 0").groupBy("section").count().collect()
+    errors = queries.block_errors(spark, d).count() + queries.page_errors(spark, d).count()
+    assert {r["section"]: r["count"] for r in heads} == {1: errors, 2: queries.rejected_names(spark, d).count()} and errors > 0
