@@ -1,18 +1,24 @@
 """N-gram Jaccard join: rare-first prefix filtering with length, positional and suffix filters.
 
-A text's set is its distinct shingles of `k` words (64-bit hashes). Texts with one set are a class; a class stands for
-its copies from the start. Two sets that reach the threshold share a shingle among the first few of each in any common
+A text's set is its distinct shingles of `k` words (64-bit hashes). Texts with one set are a class, named by 128 bits; a
+class stands for its copies from the start. Two sets that reach the threshold share a shingle among the first few of each in any common
 order; the order is rare-first, by the number of texts. Those numbers come from all shingles: blocks of texts send their
 shingles, as packed columns, to the task of a shingle range, which sends back only those that occur again. What occurs
 once comes first in the order and can join nothing, so few texts have any entry in a prefix list.
 
 Prefix shingles are joined in two steps, so that a large group of near copies is not expanded into its pairs:
 
-1. Each prefix list links its members to one leader, taken by a hash of list and member: as many pairs as entries.
-   Pairs that pass the length, positional and suffix filters are verified, once each, and give components.
+1. Each prefix list links its members to one leader, that with the least of its set before the list's shingle: as many
+   pairs as entries. What comes before is rarer, most of it edits of this member alone, so the leader of a group of near
+   copies is the least edited one, with which the others are linked if with any.
+   Pairs that pass the positional and suffix filters are verified, once each, and give components.
 2. Members of one list that are still in different components, and have not been compared, are paired under the same
    filters and verified. What is skipped are only pairs that are connected already, so components are exact.
 
+The positional filter takes a shingle as the first that two sets have in common: then all they share lies from it on in
+both. Linked sets pass at the first shingle they share, so none is lost, and no other of their shingles need pass. It
+holds the length filter, as no more can lie there than a set has.
+
 A shingle that is frequent in a block is sent once with its count, and lists of very frequent shingles are dealt out in
 shares, whose leaders meet again.
 
@@ -37,9 +43,12 @@ from pyspark.sql import functions as F
 from .common import chunks, hash_words, materialize, mix, text_buffer
 
 WORDS, PERCENT = 5, 80
-#: Buckets of a set's signature; a list's entries in a share; shingles of a block; texts of a block with a shingle from
-#: which it counts as frequent there; bits of the filter that chooses texts to be read again.
-SIGNATURE, SHARE, HELD, FREQUENT, FILTER = 32, 4096, 1 << 21, 32, 1 << 25
+#: Buckets of a set's signature; a list's entries in a share; shingles of a block and of a range, at a mean; texts of a
+#: block with a shingle from which it counts as frequent there.
+SIGNATURE, SHARE, HELD, RANGE, FREQUENT = 32, 4096, 1 << 21, 1 << 22, 32
+#: Bits for each key of the filter that chooses texts to be read again, and its most bits (32 MB): with more keys it lets
+#: more texts pass that a join then drops.
+KEY_BITS, FILTER = 16, 1 << 28
 #: Bits of a shingle's name in lists: a clash makes a candidate more, which verification drops.
 NAME = 40
 _PAD = np.uint64(0xA0761D6478BD642F)
@@ -76,9 +85,9 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, i: int, j: int, k: int)
     return s, np.searchsorted(row, np.arange(j - i + 1))
 
 
-def set_key(s: np.ndarray) -> int:
-    """A signed 64-bit name of a set."""
-    return int(np.uint64(xxhash.xxh3_64_intdigest(np.ascontiguousarray(s).tobytes())).view(np.int64))
+def set_key(s: np.ndarray) -> bytes:
+    """A 128-bit name of a set."""
+    return xxhash.xxh3_128_digest(np.ascontiguousarray(s).tobytes())
 
 
 def _planes(x: np.ndarray, bytes_each: int) -> bytes:
@@ -110,9 +119,9 @@ def sets_table(rows: DataFrame, k: int) -> DataFrame:
                 sig = np.bincount(row * SIGNATURE + (s & np.uint64(SIGNATURE - 1)).astype(np.int64), minlength=(j - i) * SIGNATURE).astype(np.int32)
                 keys = [set_key(s[a:z]) if z > a else None for a, z in zip(at[:-1].tolist(), at[1:].tolist())]
                 sigs = pa.ListArray.from_arrays(pa.array(np.arange(0, len(sig) + 1, SIGNATURE), pa.int32()), pa.array(sig))
-                yield pa.RecordBatch.from_arrays([b.column(0)[i:j], pa.array(n, pa.int64()), pa.array(keys, pa.int64()), sigs], ["id", "n", "key", "signature"])
+                yield pa.RecordBatch.from_arrays([b.column(0)[i:j], pa.array(n, pa.int64()), pa.array(keys, pa.binary()), sigs], ["id", "n", "key", "signature"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n long, key long, signature array<int>")
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n long, key binary, signature array<int>")
 
 
 def shingle_blocks(rows: DataFrame, k: int, shares: int) -> DataFrame:
@@ -129,7 +138,7 @@ def shingle_blocks(rows: DataFrame, k: int, shares: int) -> DataFrame:
         first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
         count = np.diff(np.append(first, len(t)))
         often = np.repeat(count >= FREQUENT, count)
-        extra = _pack(np.concatenate([[len(keys), int(often.sum())], np.array(keys), np.array(sizes), t[often].astype(np.int64), at[often].astype(np.int64)]).astype(np.int64))
+        extra = _pack(np.concatenate([[len(keys), int(often.sum())], np.frombuffer(b"".join(keys), np.int64), np.array(sizes), t[often].astype(np.int64), at[often].astype(np.int64)]).astype(np.int64))
         head = np.zeros(len(t), bool)
         head[first] = True
         use = ~often | head
@@ -192,16 +201,15 @@ def count_shares(blocks: DataFrame, shares: int) -> DataFrame:
     return blocks.groupBy("share").applyInPandas(run, "block string, names binary, texts binary, many binary, df binary, start long, extra binary")
 
 
-def prefix_lists(rows: DataFrame, k: int, percent: int) -> DataFrame:
+def prefix_lists(rows: DataFrame, k: int, percent: int, shares: int) -> DataFrame:
     """Entries of the prefix lists: h (shingle), key, n, p (place in the order), shares."""
-    shares = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = count_shares(shingle_blocks(rows, k, shares), shares)
 
     def texts_of(parts: list[tuple], extra: bytes) -> pa.RecordBatch:
         x = _unpack(extra, np.int64)
         c, o = int(x[0]), int(x[1])
-        keys, sizes = x[2 : 2 + c], x[2 + c : 2 + 2 * c]
-        hot, hot_at = x[2 + 2 * c : 2 + 2 * c + o].astype(np.uint64), x[2 + 2 * c + o :]
+        keys, sizes = x[2 : 2 + 2 * c].view("V16"), x[2 + 2 * c : 2 + 3 * c]
+        hot, hot_at = x[2 + 3 * c : 2 + 3 * c + o].astype(np.uint64), x[2 + 3 * c + o :]
         cat = lambda i, kind: np.concatenate([p[i] for p in parts]).astype(kind) if parts else np.zeros(0, kind)
         t, at, many, df = cat(0, np.uint64), cat(1, np.int64), cat(2, np.int64), cat(3, np.int64)
         often = many > 0
@@ -216,8 +224,9 @@ def prefix_lists(rows: DataFrame, k: int, percent: int) -> DataFrame:
         place = inside + (sizes - live)[at]  # what occurs once comes before
         length = sizes - -(-percent * sizes // 100) + 1
         use = place < length[at]
-        cols = [t[use].astype(np.int64), keys[at[use]], sizes[at[use]], place[use].astype(np.int32), (1 + df[use] // SHARE).astype(np.int32)]
-        return pa.RecordBatch.from_arrays([pa.array(v) for v in cols], ["h", "key", "n", "p", "shares"])
+        named = pa.array(keys[at[use]].tolist(), pa.binary())
+        cols = [pa.array(t[use].astype(np.int64)), named, pa.array(sizes[at[use]]), pa.array(place[use].astype(np.int32)), pa.array((1 + df[use] // SHARE).astype(np.int32))]
+        return pa.RecordBatch.from_arrays(cols, ["h", "key", "n", "p", "shares"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts, extra = None, [], None
@@ -232,7 +241,7 @@ def prefix_lists(rows: DataFrame, k: int, percent: int) -> DataFrame:
         if now is not None:
             yield texts_of(parts, extra)
 
-    return counted.repartition("block").sortWithinPartitions("block").mapInArrow(run, "h long, key long, n long, p int, shares int")
+    return counted.repartition("block").sortWithinPartitions("block").mapInArrow(run, "h long, key binary, n long, p int, shares int")
 
 
 def _alpha(a: str, b: str, percent: int) -> Column:
@@ -240,11 +249,9 @@ def _alpha(a: str, b: str, percent: int) -> Column:
     return F.ceil((F.col(a) + F.col(b)) * percent / F.lit(100.0 + percent) - 1e-9)
 
 
-def _length_and_place(percent: int) -> Column:
-    """Length filter, and positional filter at a common shingle with places pa and pb."""
-    length = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
-    most = F.least("pa", "pb") + 1 + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
-    return length & (most >= _alpha("na", "nb", percent))
+def _place(percent: int) -> Column:
+    """Positional filter at a shingle with places pa and pb that is the first in common."""
+    return F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= _alpha("na", "nb", percent)
 
 
 def _suffix(percent: int) -> Column:
@@ -259,9 +266,16 @@ def suffix_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFra
     return pairs.join(of("a"), "a").join(of("b"), "b").where(_suffix(percent)).select("a", "b")
 
 
-def key_filter(keys: DataFrame) -> np.ndarray:
-    """A bit for each key modulo FILTER: FILTER / 8 bytes, put together from at most 64 parts."""
-    wide = FILTER // 64
+def _bit(key: Column, size: int) -> Column:
+    return (F.conv(F.hex(F.substring(key, 1, 7)), 16, 10).cast("long") % size).cast("long")
+
+
+def key_filter(keys: DataFrame) -> tuple[np.ndarray, int]:
+    """A bit for each key by its hash, and the number of bits: KEY_BITS a key, FILTER at most. It is put together from 64 parts."""
+    size = 1 << 16
+    while size < FILTER and size < KEY_BITS * keys.count():
+        size <<= 1
+    wide = size // 64
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         bits = np.zeros(wide // 8, np.uint8)
@@ -269,23 +283,23 @@ def key_filter(keys: DataFrame) -> np.ndarray:
         np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
         return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "bits": [_pack(bits)]})
 
-    at = keys.select(F.pmod("key", F.lit(FILTER)).cast("long").alias("at")).distinct()  # FILTER rows at most
+    at = keys.select(_bit(F.col("key"), size).alias("at")).distinct()  # FILTER rows at most
     found = at.withColumn("part", F.floor(F.col("at") / wide).cast("int")).groupBy("part").applyInPandas(run, "part int, bits binary").collect()
-    out = np.zeros(FILTER // 8, np.uint8)
+    out = np.zeros(size // 8, np.uint8)
     for r in found:
         out[r["part"] * wide // 8 : (r["part"] + 1) * wide // 8] = _unpack(r["bits"], np.uint8)
-    return out
+    return out, size
 
 
 def verify(rows: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) that are linked. Sets of the classes in question are made again from the texts, which a filter of
     fixed size chooses without moving them; each pair's second set is sent to its first, and compared there as it comes."""
     pairs = materialize(pairs, "pairs")
-    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    chosen = rows.sparkSession.sparkContext.broadcast(key_filter(keys))  # FILTER bits, whatever the input
+    keys = materialize(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
+    chosen = rows.sparkSession.sparkContext.broadcast(key_filter(keys))  # FILTER bits at most
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, bits = set(), chosen.value
+        seen, (bits, size) = set(), chosen.value
         for b in batches:
             data, offsets = text_buffer(b.column(1))
             for i, j in chunks(offsets):
@@ -293,14 +307,17 @@ def verify(rows: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame
                 made = []
                 for a, z in zip(at[:-1].tolist(), at[1:].tolist()):
                     key = set_key(s[a:z]) if z > a else None
-                    if key is not None and key not in seen and bits[(key % FILTER) >> 3] >> (key & 7) & 1:
+                    if key is None or key in seen:
+                        continue
+                    bit = int.from_bytes(key[:7], "big") % size
+                    if bits[bit >> 3] >> (bit & 7) & 1:
                         seen.add(key)
                         made.append((key, s[a:z].tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.binary())], ["key", "set"])
+                yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.binary())], ["key", "set"])
 
-    sets = rows.mapInArrow(sets_of, "key long, set binary").join(keys, "key", "left_semi").dropDuplicates(["key"])
+    sets = rows.mapInArrow(sets_of, "key binary, set binary").join(keys, "key", "left_semi").dropDuplicates(["key"])
     sets = materialize(sets, "sets")
-    owners = pairs.select(F.col("a").alias("key")).distinct().join(sets, "key").select(F.col("key").alias("a"), F.lit(None).cast("long").alias("b"), "set")
+    owners = pairs.select(F.col("a").alias("key")).distinct().join(sets, "key").select(F.col("key").alias("a"), F.lit(None).cast("binary").alias("b"), "set")
     others = pairs.join(sets.withColumnRenamed("key", "b"), "b").select("a", "b", "set")
     ordered = owners.unionByName(others).repartition("a").sortWithinPartitions("a", F.col("b").asc_nulls_first())
 
@@ -317,9 +334,9 @@ def verify(rows: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame
                 common = int((mine[np.minimum(at, len(mine) - 1)] == s).sum())
                 if 100 * common >= percent * (len(mine) + len(s) - common):
                     found.append((a.as_py(), b.as_py()))
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary())], ["a", "b"])
 
-    return materialize(ordered.mapInArrow(compare, "a long, b long"), "links")
+    return materialize(ordered.mapInArrow(compare, "a binary, b binary"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -346,11 +363,27 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.greatest(a, b).alias("a"), F.least(a, b).alias("b")]
 
 
+def step_pairs(rest: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of entries (h, key, n, p, component, signature) of one list, in different components, that pass the filters."""
+    # Sizes of a pair are in the same or neighbouring steps of the threshold, so the step is a second key.
+    by = F.col("n").cast("double") if percent == 100 else F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))
+    steps = F.sequence(F.floor(by).cast("int"), F.floor(by + (0.0 if percent == 100 else 1.0) + 1e-9).cast("int"))
+    side = lambda x: [F.col("key").alias("k" + x), F.col("n").alias("n" + x), F.col("p").alias("p" + x), F.col("component").alias("c" + x), F.col("signature").alias("s" + x)]
+    left = rest.select("h", *side("a"), F.explode(steps).alias("step"))
+    right = rest.select("h", *side("b"), F.floor(by).cast("int").alias("step"))
+    small_first = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ka") < F.col("kb")))
+    close = (F.col("ca") != F.col("cb")) & small_first & _place(percent) & _suffix(percent)
+    return left.join(right, (left["h"] == right["h"]) & (left["step"] == right["step"]) & close).select(*_pair("ka", "kb")).distinct()
+
+
 def link_classes(rows: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """(key, component) of all classes that are linked with another."""
-    posts = prefix_lists(rows, k, percent)
+    # Ranges of shingles for as many tasks as the session has, and more where they would hold too much.
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    shares = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // RANGE)
+    posts = prefix_lists(rows, k, percent, shares)
     posts = posts.withColumn("share", F.pmod(F.xxhash64("key"), F.col("shares")).cast("int"))
-    one = F.struct(F.xxhash64("key", "h").alias("o"), "key", "n", "p")
+    one = F.struct((F.col("p") / F.col("n")).alias("before"), F.xxhash64("key", "h").alias("o"), "key", "n", "p")
 
     def led(df: DataFrame, *by: str) -> DataFrame:
         w = Window.partitionBy(*by)
@@ -359,7 +392,7 @@ def link_classes(rows: DataFrame, classes: DataFrame, k: int, percent: int) -> D
     live = materialize(led(posts, "h", "share").where("entries > 1 OR shares > 1"), "lists")
     again = led(live.where("shares > 1 AND key = leader.key").drop("leader", "entries"), "h")
     star = lambda df: df.where("key <> leader.key").select(F.col("key").alias("ka"), F.col("leader.key").alias("kb"), F.col("n").alias("na"), F.col("leader.n").alias("nb"), F.col("p").alias("pa"), F.col("leader.p").alias("pb"))
-    first = star(live).unionByName(star(again)).where(_length_and_place(percent)).select(*_pair("ka", "kb")).distinct()
+    first = star(live).unionByName(star(again)).where(_place(percent)).select(*_pair("ka", "kb")).distinct()
     first = materialize(suffix_filter(first, classes, percent), "stars")
     links = verify(rows, first, k, percent)
     found = materialize(components(links), "components")
@@ -370,14 +403,7 @@ def link_classes(rows: DataFrame, classes: DataFrame, k: int, percent: int) -> D
     mixed = rest.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("h")
     # Signatures come along, so that the join itself gives only pairs that pass all filters.
     rest = materialize(rest.join(mixed, "h", "left_semi").join(classes.select("key", "signature"), "key"), "mixed")
-    # Sizes of a pair are in the same or neighbouring steps of the threshold, so the step is a second key.
-    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    side = lambda x: [F.col("key").alias("k" + x), F.col("n").alias("n" + x), F.col("p").alias("p" + x), F.col("component").alias("c" + x), F.col("signature").alias("s" + x)]
-    left = rest.select("h", *side("a"), F.explode(F.array(step, step + 1)).alias("step"))
-    right = rest.select("h", *side("b"), step.alias("step"))
-    small_first = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ka") < F.col("kb")))
-    close = (F.col("ca") != F.col("cb")) & small_first & _length_and_place(percent) & _suffix(percent)
-    second = left.join(right, (left["h"] == right["h"]) & (left["step"] == right["step"]) & close).select(*_pair("ka", "kb")).distinct()
+    second = step_pairs(rest, percent)
     second = second.join(first, ["a", "b"], "left_anti")
     more = verify(rows, second, k, percent)
     if more.isEmpty():

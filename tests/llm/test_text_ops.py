@@ -151,6 +151,30 @@ def test_near(spark, monkeypatch, k, percent, frequent):
     assert {tuple(x) for x in ngram_join.near_duplicates(df, k=k, percent=percent).collect()} == plain_near(rows, k, percent)
 
 
+def test_near_compares_few_pairs_of_a_large_group(spark, monkeypatch):
+    r = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(5000):
+        w = list(base)
+        for k in range(min(12, int(r.expovariate(0.3)))):  # a few shingles each, some too many for any link
+            w[r.randrange(len(w))] = f"own{i}_{k}"
+        texts.append(" ".join(w))
+    compared, verify = [], ngram_join.verify
+
+    def counted(rows, pairs, *rest):
+        compared.append(pairs.count())
+        return verify(rows, pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "verify", counted)
+    found = ngram_join.near_duplicates(documents(spark, texts).repartition(4), k=4, percent=85).collect()
+    assert sum(compared) <= 3 * len(texts), compared
+    groups = {}
+    for x in found:
+        groups.setdefault(x.component_id, []).append(x.doc_id)
+    assert max(map(len, groups.values())) > 1000 and len(found) == len(texts)
+
+
 def test_near_drop(spark):
     t = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
     df = documents(spark, [t, t + " 1", t, None, None, "q"], [5, 4, 9, 1, 2, 3])
