@@ -15,6 +15,7 @@ from __future__ import annotations
 import html as _html
 import random
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -34,10 +35,12 @@ RAW = frozenset("script style textarea title noscript iframe xmp noframes".split
 #: Their text is dropped, whatever stands around it.
 DEAD = frozenset("head select button svg math template object audio video canvas label option datalist".split())
 #: An end tag that may be left out: the tags whose start closes it, up to a boundary.
-CLOSED_BY = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("dt dd", {"dl"}), "tr": ("tr td th", {"table"}), "td": ("td th", {"table", "tr"}), "th": ("td th", {"table", "tr"})}
-P_BOUNDARY = frozenset("td th caption table html body".split())
+_CLOSED_BY = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "table tr"), "th": ("td th", "table tr")}
+CLOSED_BY = {k: (what.split(), until.split()) for k, (what, until) in _CLOSED_BY.items()}
+P_BOUNDARY = "td th caption table html body".split()
 
-TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+#: A quote opens a value only after an equals sign.
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+)>""")
 LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 AGAINST = re.compile(
@@ -68,6 +71,7 @@ class Tree:
 def parse(page: str) -> Tree:
     t = Tree([-1], ["html"], [""], [""], [0])
     stack, dead = [0], 0  # open blocks; how many of them are dead
+    places: dict[str, list[int]] = defaultdict(list, {"html": [0]})  # of open blocks in the stack, by tag
     run: list[str] = []
     linked, link = 0, False
     pos, end = 0, len(page)
@@ -88,7 +92,13 @@ def parse(page: str) -> Tree:
         """Closes the open blocks from place k of the stack on."""
         nonlocal dead
         while len(stack) > k:
-            dead -= t.tag[stack.pop()] in DEAD
+            tag = t.tag[stack.pop()]
+            places[tag].pop()
+            dead -= tag in DEAD
+
+    def nearest(tags: list[str]) -> int:
+        """The place of the last open block of these tags, -1 if there is none."""
+        return max(places[x][-1] if places[x] else -1 for x in tags)
 
     while pos < end:
         at = page.find("<", pos)
@@ -133,31 +143,18 @@ def parse(page: str) -> Tree:
             continue
         flush()
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if t.tag[stack[k]] == name:
-                    close(k)
-                    link = False
-                    break
+            if (k := nearest([name])) > 0:
+                close(k)
+                link = False
             continue
-        if name in ("html", "body") and any(t.tag[i] == name for i in stack):
+        if name in ("html", "body") and places[name]:
             continue
-        if name in BLOCKS:
-            for k in range(len(stack) - 1, 0, -1):
-                tag = t.tag[stack[k]]
-                if tag == "p":
-                    close(k)
-                    break
-                if tag in P_BOUNDARY:
-                    break
+        if name in BLOCKS and (k := nearest(["p"])) > nearest(P_BOUNDARY):
+            close(k)
         if name in CLOSED_BY:
             what, until = CLOSED_BY[name]
-            for k in range(len(stack) - 1, 0, -1):
-                tag = t.tag[stack[k]]
-                if tag in what.split():
-                    close(k)
-                    break
-                if tag in until:
-                    break
+            if (k := nearest(what)) > nearest(until):
+                close(k)
         if name == "body" and dead:  # a head that was not closed
             close(1)
         t.parent.append(stack[-1])
@@ -166,6 +163,7 @@ def parse(page: str) -> Tree:
         t.text.append("")
         t.linked.append(0)
         if name not in VOID:
+            places[name].append(len(stack))
             stack.append(len(t.parent) - 1)
             dead += name in DEAD
     if not dead:
@@ -335,7 +333,7 @@ def page(r: random.Random) -> str:
         return f"<{d}{attr('comments', 'comment-list', 'discussion', 'disqus_thread', 'responses', often=0.97)}>{r.choice(('', f'<h3>{words(1, 3)}</h3>'))}{each}{r.choice(('', form()))}</{d}>"
 
     def footer() -> str:
-        inside = r.choice((f"&copy; {words(1, 4)} &middot; {prose(1, 3)}", f"<p>{prose(1, 2)}</p>", f"<ul>{links(2, 6)}</ul><p>{words(2, 8)}</p>"))
+        inside = r.choice((f"{r.choice(('&copy;', '&#169;', 'Copyright', ''))} {words(1, 4)}{r.choice((' |', '.', ' &ndash;', ''))} {prose(0, 3)}", f"<p>{prose(1, 2)}</p>", f"<ul>{links(2, 6)}</ul><p>{words(2, 8)}</p>"))
         return f"<footer{attr('footer', 'foot', often=0.3)}>{inside}</footer>" if r.random() < 0.65 else f"<div{attr('footer', 'site-footer', 'copyright', often=0.95)}>{inside}</div>"
 
     def header() -> str:
@@ -345,8 +343,8 @@ def page(r: random.Random) -> str:
     def block() -> str:
         k, m = r.random(), " data-main"
         if k < 0.62:
-            text = prose(1, 8)
-            text = text if r.random() < 0.8 else f"<b>{text}<br>" if r.random() < 0.3 else text.replace(" ", f' <a href="/{word()}">{word()}</a> ', 1)
+            text = prose(1, 8) if r.random() < 0.85 else words(1, 3).strip(",").capitalize() + r.choice((".", "", "!", "?"))
+            text = text if r.random() < 0.8 else (f"<{(b := r.choice(('b', 'i', 'em', 'strong', 'span', 'font')))}>{text}" + r.choice((f"</{b}>", "", "<br>", f"<br></{b}>"))) if r.random() < 0.3 else text.replace(" ", f' <a href="/{word()}">{word()}</a> ', 1)
             return f"<p{m}>{text}{'</p>' if r.random() < 0.9 else ''}"
         if k < 0.72:
             return f"<h2{m}>{words(1, 7)}</h2>"
@@ -386,7 +384,9 @@ def page(r: random.Random) -> str:
     if r.random() < 0.25:
         body = f"<div{attr('page', 'site', 'wrapper', often=0.5)}>{body}</div>"
     tail = "</body></html>" if r.random() < 0.85 else ""
-    return f"<!DOCTYPE html><html><head><title>{words(1, 9)}</title><style>p{{margin:0}}</style><script>var t='</p>';</script></head><body>{body}{tail}"
+    heads = (f"<title>{words(1, 9)}</title>", '<meta charset="utf-8">', f"<style>.{word()} > a {{color: red}}</style>", f"<script>if (a < b) document.write('<div>{words(1, 4)}</div>');</script>", '<link rel="icon" href="/i.png">')
+    head = "".join(r.sample(heads, r.randint(0, len(heads))))
+    return f"{r.choice(('<!DOCTYPE html>', ''))}<html>{r.choice((f'<head>{head}</head>', f'<head>{head}', ''))}<body>{body}{tail}"
 
 
 _MARKED = re.compile(r" data-main(?=[ >])")
@@ -411,7 +411,7 @@ def labelled(pages: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 @lru_cache(maxsize=2)
-def model(pages: int = 700, seed: int = 7) -> Forest:
+def model(pages: int = 900, seed: int = 7) -> Forest:
     return fit(*labelled(pages, seed))
 
 

@@ -3,7 +3,9 @@
 import base64
 import hashlib
 import math
+import os
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -42,6 +44,49 @@ def test_template():
     assert html_text.main_texts([page], html_text.model()) == ["Title <one>\n\nFirst sentence.\n\nSecond & third sentence, with more words in it.\n\nA last paragraph of the article, that ends here."]
 
 
+def test_quotes_open_a_value_only_after_an_equals_sign():
+    texts = lambda p: [x for x in html_text.parse(p).text if x]
+    first = "Hello main words, here it's fine. There are more of them in this paragraph, as it goes on."
+    assert texts(f"<p title=don't>{first}</p><p>Second's paragraph.</p>") == [first, "Second's paragraph."]
+    assert html_text.main_texts([f"<div data-x=it's>{first}</div>"], html_text.model()) == [first]
+    odd = html_text.parse("""<p a="x>y" b='>' c = "z>">one</p><p "q>two</p><p d=">three""")
+    assert [x for x in odd.text if x] == ["one", "two", "three"]
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    took = []
+    for n in (20_000, 100_000):
+        for opening in ("<div>", "<p><button>", "<li><span><b>", "</div><td>"):
+            start = time.thread_time()
+            t = html_text.parse(opening * n + "deep")
+            took.append((n, time.thread_time() - start))
+            assert "deep" in "".join(t.text) or "button" in opening
+    assert max(s for n, s in took if n == 100_000) < 20 * max(0.1, max(s for n, s in took if n == 20_000))
+
+
+ARTICLES = "/root/testdata/sf0.001/pages.parquet"
+
+
+@pytest.mark.skipif(not os.path.exists(ARTICLES), reason="no test tables")
+def test_known_articles(spark):
+    """Pages whose article stands between its tags, in headings and paragraphs: the text of these, and nothing else."""
+    import html
+
+    rows = spark.read.parquet(ARTICLES).collect()
+    known = {}
+    for x in rows:
+        found = re.search(r"<article>(.*)</article>", x.html or "", re.S)
+        if found and not re.search(r"<(?!/?(?:h\d|p|b|br|i|em)\b)", found[1]):
+            blocks = re.split(r"</?(?:h\d|p)\b[^>]*>", found[1])
+            clean = (" ".join(html.unescape(re.sub(r"<br>", " ", b).replace("<b>", "").replace("</b>", "")).split()) for b in blocks)
+            known[x.page_id] = "\n\n".join(b for b in clean if b)
+    got = {x.page_id: x.text for x in html_text.extract(spark.read.parquet(ARTICLES)).collect()}
+    same = sum(got[i] == t for i, t in known.items())
+    assert len(got) == len(rows) and len(known) > 0.8 * len(rows) and same >= 0.98 * len(known), (same, len(known))
+
+
 def test_decode_is_the_best_consistent_labelling():
     r = np.random.default_rng(3)
     for _ in range(60):
@@ -105,10 +150,27 @@ def test_index(spark, tmp_path):
     index = warc.Index(parts, keep=4)
     for i in (0, 17, 299, 150):
         assert index.read(warc.capture_key(f"http://h{i % 7}.example.com/{i}", i))[1] == f"page {i}".encode()
-    assert index.find(warc.capture_key("http://none.example.com/", 1)) is None and index.find("") is None
+    assert index.find(warc.capture_key("http://none.example.com/", 1)) == index.find("") == []
     assert warc.url_key("https://www.a.example.com:443/P?x=1") == "com,example,a)/p?x=1"
 
 
+def test_everything_is_read_through_the_index(spark, tmp_path):
+    rows = [(i // 30, f"http://h{i % 3}.example.com/", f"page {i}") for i in range(120)] + [(7, "u", "x")] * 50
+    df = spark.createDataFrame(rows, PAGE).repartition(3)
+    folder = f"file://{tmp_path}/w"
+    captures = warc.write_archives(df, folder)
+    parts = warc.build_index(captures, folder, parts=2, lines=4)  # the lines of a key go over several blocks
+    index = warc.Index(parts)
+    assert len(index.find(warc.capture_key("u", 7))) == 50
+    keys = captures.select("key").distinct()
+    back = warc.read_archives(keys, parts, 5)
+    assert back.count() == len(rows) and back.rdd.getNumPartitions() == 5
+    with pytest.raises(Exception, match="no capture"):
+        warc.look_up(keys.unionByName(spark.createDataFrame([("com,example,none)/ 1",)], "key string")), parts, 2).count()
+    near = [("f", 0, 5), ("f", 5, 5), ("f", 20, 5), ("g", 25, 5), ("g", 30, 100), ("g", 130, 1)]
+    assert [len(x) for x in warc.neighbours(near, 50)] == [2, 1, 1, 1, 1]
+
+
 # ---- language model --------------------------------------------------------------------------------------------------
 
 
@@ -207,6 +269,38 @@ def test_packing(spark):
     assert packing.best_fit_pack(documents(spark, []), queries.vocabulary("word_bpe_49k.json")).count() == 0
 
 
+def test_packing_needs_no_more_than_best_fit(spark):
+    """Against best-fit decreasing of the same pieces, one by one."""
+    r = random.Random(31)
+    texts = ["a " * int(min(6000, r.lognormvariate(6, 1.1))) for _ in range(300)]
+    rows, at = packed(spark, texts)
+    rooms = []
+    for n in sorted((x.length for x in rows), reverse=True):
+        fits = min((room for room in rooms if room >= n), default=None)
+        if fits is not None:
+            rooms.remove(fits)
+        rooms.append((2048 if fits is None else fits) - n)
+    assert len(at) <= len(rooms)
+
+
+def test_packing_special_strings_and_other_files(spark, tmp_path):
+    """Ids are the library's: special tokens in a text, and files whose normal form is another."""
+    import json
+
+    texts = ["<|endoftext|> a b", "x<|startoftext|>y <|endoftext|", "a  B\u00a0c don't Ab1", "\u0130 \u1e9e"]
+    path = queries.vocabulary("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        other = json.load(f)
+    other["normalizer"]["normalizers"] = other["normalizer"]["normalizers"][:2]  # no lower case
+    (tmp_path / "other.json").write_text(json.dumps(other))
+    for file, known in ((path, True), (str(tmp_path / "other.json"), False)):
+        assert packing.added(file)[0] is known
+        whole = packing.tokenizer(file)
+        got = {x.doc_id: x.ids_crc32 for x in packing.best_fit_pack(documents(spark, texts), file).collect()}
+        assert got == {i: zlib.crc32(np.array([*whole.encode(t, add_special_tokens=False).ids, 0], "<u4").tobytes()) for i, t in enumerate(texts)}
+    assert 49407 in packing.tokenizer(path).encode(texts[0], add_special_tokens=False).ids
+
+
 def test_packing_in_many_shares(spark, monkeypatch):
     monkeypatch.setattr(packing, "SHARE_ROWS", 10)
     packed(spark, ["a b c"] * 120 + ["d " * 700] * 30 + ["e " * 1200] * 20, groups=3)
