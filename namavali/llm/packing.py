@@ -6,6 +6,11 @@
    the rest by best fit), then the actual pieces take their group's places.
 3. What the actual pieces leave free is filled with the small pieces by best fit, longest first.
 
+Rounding lengths up costs room that only small pieces can fill, so the threshold `small` is chosen by planning for each
+of SMALL on the counts, scaled down to PLANNED pieces; the fewest sequences win.
+
+A text's ids are those that the library gives, special tokens' strings in it included.
+
 The driver only sees counts by length (at most `capacity` of them), whatever the input's size. Ranks among pieces of one
 length are taken in shares and offset by the counts of the shares before, so no key's rows meet in one task.
 
@@ -31,20 +36,47 @@ from pyspark.sql import functions as F
 from .common import CHUNK_BYTES, _SPACE, chunks, materialize, text_buffer
 
 CAPACITY, END = 2048, 0
-#: Pieces of at most this many tokens are small; the others fall into this many groups.
-SMALL, GROUPS = 256, 48
+#: Parts of the capacity up to which pieces may count as small, the number of groups that the others fall into, and the
+#: pieces for which the choice is made.
+SMALL, GROUPS, PLANNED = (1 / 8, 1 / 4, 1 / 2), 48, 20_000
 #: Rows of a share, about, in which ranks are counted.
 SHARE_ROWS = 200_000
 
 
 @lru_cache(maxsize=4)
 def tokenizer(path: str):
-    """The tokenizer of a file; special tokens' strings in a text are ordinary text."""
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(path)
+
+
+#: What a file must say of its text for words to be encoded alone, and for plain ones to be merged here; with any other
+#: file the library encodes whole texts. A fixed value.
+KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+    "truncation": None,
+    "padding": None,
+}
+_MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
+
+
+@lru_cache(maxsize=4)
+def added(path: str) -> tuple[bool, re.Pattern | None]:
+    """Whether the file is of the known kind, and a pattern of the strings of its special tokens, if it has any."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    tokens = spec.get("added_tokens") or []
+    alone = all(not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) and t["content"] and not re.search(r"\s", t["content"]) for t in tokens)
+    known = alone and all(spec.get(k) == v for k, v in KNOWN.items()) and all(spec["model"].get(k) == v for k, v in _MODEL.items()) and bool(spec["model"].get("end_of_word_suffix"))
+    return known, re.compile("|".join(re.escape(t["content"]) for t in tokens)) if tokens else None
 
 
 #: Words whose normal form and pre-tokens are plain: Latin letters, digits and ASCII marks without an apostrophe.
@@ -132,10 +164,10 @@ class WordCache:
     def _get(self, found: list[bytes]) -> list[bytes]:
         ids, pieces = self.ids, self.pieces
         new = [w for w in found if w not in ids]
-        plain, odd = [], []
+        plain, odd, special = [], [], added(self.path)[1]
         for w in new:
             t = w.decode()
-            if PLAIN.fullmatch(t):
+            if PLAIN.fullmatch(t) and not (special and special.search(t)):
                 plain.append((w, PIECE.findall(t.lower())))
             else:
                 odd.append((w, t))
@@ -162,6 +194,10 @@ def word_cache(path: str) -> WordCache:
 
 def encode_texts(column: pa.Array, cache: WordCache) -> Iterator[np.ndarray]:
     """Ids of each text. The tokenizer drops white space, so words between ASCII white space are encoded alone."""
+    if not added(cache.path)[0]:
+        for text in column.to_pylist():
+            yield np.array(tokenizer(cache.path).encode(text or "", add_special_tokens=False).ids, "<u4")
+        return
     data, offsets = text_buffer(column)
     for i, j in chunks(offsets, CHUNK_BYTES * 8):
         text = data[offsets[i] : offsets[j]].tobytes()
@@ -210,21 +246,18 @@ def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 def _knapsack(worth: np.ndarray, sizes: np.ndarray, capacity: int) -> np.ndarray:
     """How many of each size make the most worth within capacity."""
     best, took = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-    for c in range(1, capacity + 1):
-        ok = sizes <= c
-        value = np.where(ok, best[np.maximum(c - sizes, 0)] + worth, -1.0)
-        k = int(value.argmax()) if len(value) else 0
-        if len(value) and value[k] > best[c - 1] + 1e-12:
-            best[c], took[c] = value[k], k
-        else:
-            best[c] = best[c - 1]
+    rest = np.arange(capacity + 1)[None] - sizes[:, None]  # room left after one of each size
+    while True:  # one piece more each time
+        value = np.where(rest >= 0, best[np.maximum(rest, 0)] + worth[:, None], -1.0)
+        k = value.argmax(0)
+        more = value[k, np.arange(capacity + 1)] > best + 1e-12
+        if not more.any():
+            break
+        best, took = np.where(more, value[k, np.arange(capacity + 1)], best), np.where(more, k, took)
     out, c = np.zeros(len(sizes)), capacity
-    while c > 0:
-        if took[c] < 0:
-            c -= 1
-        else:
-            out[took[c]] += 1
-            c -= sizes[took[c]]
+    while took[c] >= 0:
+        out[took[c]] += 1
+        c -= sizes[took[c]]
     return out
 
 
@@ -329,6 +362,28 @@ def plan_small(gaps: dict[int, int], hist: dict[int, int], capacity: int, first_
     return rows
 
 
+def sequences_of(hist: dict[int, int], capacity: int, small: int, groups: int) -> int:
+    """The number of sequences that a plan for these counts makes."""
+    (spans, slots), sequences = plan_large(hist, capacity, small, groups)
+    lengths: dict[int, list[np.ndarray]] = defaultdict(list)
+    for length, a, z, size, _ in sorted(spans, key=lambda r: (r[3], r[4])):
+        lengths[size].append(np.full(z - a, length))
+    by_place = {size: np.concatenate(v) for size, v in lengths.items()}
+    used = np.zeros(sequences, np.int64)
+    for size, a, z, first, each, _ in slots:
+        np.add.at(used, first + np.arange(z - a) // each, by_place[size][a:z])
+    gaps = dict(zip(*(x.tolist() for x in np.unique(capacity - used, return_counts=True))))
+    fills = plan_small(gaps, {x: c for x, c in hist.items() if x <= small}, capacity, sequences)
+    return sequences + max((place + z - a for _, a, z, gap, place, _ in fills if gap < 0), default=0)
+
+
+def choose_small(hist: dict[int, int], capacity: int, groups: int) -> int:
+    """The length up to which pieces are small, of those in SMALL, with the fewest sequences; the least such."""
+    total = sum(hist.values())
+    like = hist if total <= PLANNED else {x: max(1, round(c * PLANNED / total)) for x, c in hist.items()}
+    return min((int(capacity * part) for part in SMALL), key=lambda small: (sequences_of(like, capacity, small, groups), small))
+
+
 # ---- carrying it out -------------------------------------------------------------------------------------------------
 
 
@@ -352,11 +407,12 @@ def _lookup(table: list[tuple], at: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 def best_fit_pack(
-    df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, small: int = SMALL, groups: int = GROUPS, end: int = END
+    df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, small: int | None = None, groups: int = GROUPS, end: int = END
 ) -> DataFrame:
     """Per piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
     p = materialize(pieces(df, path, id_col, text_col, capacity, end).withColumn("uid", F.monotonically_increasing_id()), "pieces")
     hist = {r["length"]: r["count"] for r in p.groupBy("length").count().collect()}  # at most `capacity` rows
+    small = choose_small(hist, capacity, groups) if small is None else small
     (spans, slots), sequences = plan_large(hist, capacity, small, groups)
     spans, slots = sorted(spans), sorted(slots)
     ranked = materialize(with_rank(p, "length", ["uid"], sum(hist.values())), "ranked")
