@@ -1,12 +1,13 @@
 """Exact deduplication by content-defined chunk recipes, in DataFrame operations only.
 
-A text is cut where its own characters say so (`CUT`), so equal texts have equal chunks. Chunks are deduplicated once,
-by text, to identifiers: a 64-bit hash, and an ordinal that tells apart different chunks of one hash, so that equal
-identifiers prove equal chunks. A text's recipe is its ordered list of identifiers; only recipes meet in the grouping,
-and the long texts move once, as distinct chunks.
+A text is cut where its own characters say so (`CUT`; a run of thousands of characters without a cut is cut at MOST), so
+equal texts have equal chunks. Chunks are deduplicated once, by text, to verified identifiers: a chunk's 64-bit hash where
+no other chunk has it, and else the hash with the chunk's own text, so that equal identifiers prove equal chunks. A
+text's recipe is its ordered list of identifiers; only recipes meet in the grouping, and the long texts move once, as
+distinct chunks.
 
 Defined results: a null text counts as empty and has an empty recipe; of equal texts the largest id stays, and of
-repeated rows with that id one; null ids come last. An empty table gives an empty table. Only the id and the text are
+repeated rows with that id one; a null id is less than any other and stays only if all of its text are null. An empty table gives an empty table. Only the id and the text are
 read, so other columns cannot clash.
 """
 
@@ -33,7 +34,7 @@ def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def clashes(rows: DataFrame) -> DataFrame:
-    """Distinct chunks that share a hash with another chunk, with ordinals from 1: (h, chunk, ordinal).
+    """Hashes that different chunks share: (h).
 
     The one movement of texts: distinct chunks by hash, combined on the map side first, so a chunk that occurs in a
     third of all rows is sent once by each task.
@@ -51,7 +52,7 @@ def recipes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     sha = F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
     if clashing.isEmpty():  # verified: each hash stands for one chunk
         return rows.select("id", hashes.alias("recipe"), sha)
-    # Chunks of clashing hashes get as identifier the hash and the chunk's digest; both are compared by value.
+    # Chunks of clashing hashes get as identifier the hash and the chunk itself; both are compared by value.
     one = rows.withColumn("row", F.monotonically_increasing_id()).select("id", "row", sha, F.posexplode_outer(chunks_of(F.col("text"))).alias("pos", "chunk"))
     one = one.withColumn("h", F.xxhash64("chunk"))
     told = one.join(clashing.withColumn("clash", F.lit(True)), "h", "left").withColumn("item", F.struct("pos", F.when(F.col("clash"), F.col("chunk")).otherwise(F.lit("")).alias("chunk"), "h"))
@@ -78,7 +79,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with their columns as they were."""
     told = materialize(exact_dedup(df, id_col, text_col), "copies")
-    out = df.join(told.where("NOT kept").select(F.col(id_col).alias("__gone")).where("__gone IS NOT NULL").distinct(), F.col(id_col) == F.col("__gone"), "left_anti")
+    gone = told.where("NOT kept").select(F.col(id_col).alias("__gone")).distinct()
+    out = df.join(gone, F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
     again = told.groupBy(id_col).count().where("count > 1")
     if not again.isEmpty():  # ids are not unique here: settle them by row
         rows = df.withColumn("__sha", F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))

@@ -102,6 +102,10 @@ def test_drop_copies(spark):
     out = dedup.drop_copies(df)
     assert out.columns == df.columns and sorted(x.doc_id for x in out.collect()) == [2, 4, 5]
     assert dedup.drop_copies(df.limit(0)).count() == 0
+    with_null = documents(spark, ["x", "x", "y", "z", "z", "w"], [1, None, 2, None, None, 3])
+    assert sorted((x.doc_id or 0, x.text) for x in dedup.drop_copies(with_null).collect()) == [(0, "z"), (1, "x"), (2, "y"), (3, "w")]
+    one_null = documents(spark, ["x", "x", "y"], [1, None, 2])
+    assert sorted((x.doc_id or 0, x.text) for x in dedup.drop_copies(one_null).collect()) == [(1, "x"), (2, "y")]
 
 
 # ---- near duplicates -------------------------------------------------------------------------------------------------
