@@ -4,7 +4,8 @@ Each task writes its pages as gzip members of one archive in the shared folder;
 written once, by the page with the largest id, and the others are revisit records. The index sorts captures by
 reversed-host URL key into compressed blocks; a part's footer is a sparse directory of its blocks, and the list of parts
 has a first key each. A lookup bisects parts, then blocks, reads one block, bisects its lines and reads the record's
-range. Archives whose task failed are in no index, and reading starts from the index, so retries leave no trace.
+range. Archives whose task failed are in no index, so retries leave no trace. Reading back looks up every capture's key:
+sorted, so that a task's lookups go from block to block, and what they find is read in the archives' order.
 
 Defined results: a null html is an empty payload, a null url is written as about:blank, a null id comes back null.
 Repeated rows are written and read back as often as they come; of equal payloads all rows with the largest id are
@@ -31,8 +32,9 @@ from pyspark.sql import functions as F
 
 from .common import materialize, scratch
 
-#: Lines of an index block; bytes of an archive that one task reads back.
-BLOCK_LINES, RANGE_BYTES = 2000, 32 << 20
+#: Lines of an index block; bytes of archives that one task reads back, about; most bytes of neighbouring records that are
+#: read at once.
+BLOCK_LINES, TASK_BYTES, READ_BYTES = 2000, 32 << 20, 4 << 20
 DATE = "2024-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -100,12 +102,9 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
     return headers, body.partition(b"\r\n\r\n")[2]
 
 
-def members(data: bytes) -> Iterator[bytes]:
-    """The gzip members of data, decompressed."""
-    while data:
-        z = zlib.decompressobj(31)
-        yield z.decompress(data) + z.flush()
-        data = z.unused_data
+def unpack(member: bytes) -> bytes:
+    """A gzip member, decompressed."""
+    return zlib.decompress(member, 31)
 
 
 def _fs(path: str) -> tuple[pafs.FileSystem, str]:
@@ -214,69 +213,105 @@ class Index:
         self.kept.move_to_end((file, offset))
         return self.kept[file, offset]
 
-    def find(self, key: str) -> tuple[str, int, int] | None:
-        """(archive, offset, length) of a capture."""
-        k = bisect.bisect_right(self.first, key) - 1
-        if k < 0:
-            return None
-        _, file, offset, length = self.parts[k]
-        keys, blocks = self._get(file, offset, length, lambda raw: (lambda d: ([x[0] for x in d], d))(json.loads(raw)))
-        j = bisect.bisect_right(keys, key) - 1
-        names, rows = self._get(file, blocks[j][1], blocks[j][2], lambda raw: (lambda v: ([x.split("\t", 1)[0] for x in v], v))(raw.decode().split("\n")))
-        i = bisect.bisect_left(names, key)
-        if i == len(names) or names[i] != key:
-            return None
-        _, at, start, size = rows[i].split("\t")
-        return at, int(start), int(size)
+    def find(self, key: str) -> list[tuple[str, int, int]]:
+        """(archive, offset, length) of each capture of that key."""
+        out = []
+        k = max(bisect.bisect_right(self.first, key) - 1, 0)
+        for _, file, offset, length in self.parts[k : k + 1]:
+            keys, blocks = self._get(file, offset, length, lambda raw: (lambda d: ([x[0] for x in d], d))(json.loads(raw)))
+            for j in range(max(bisect.bisect_left(keys, key) - 1, 0), len(blocks)):  # lines of one key can go on in the next blocks
+                if keys[j] > key:
+                    break
+                names, rows = self._get(file, blocks[j][1], blocks[j][2], lambda raw: (lambda v: ([x.split("\t", 1)[0] for x in v], v))(raw.decode().split("\n")))
+                for row in rows[bisect.bisect_left(names, key) : bisect.bisect_right(names, key)]:
+                    _, at, start, size = row.split("\t")
+                    out.append((at, int(start), int(size)))
+        return out
 
     def read(self, key: str) -> tuple[dict[str, str], bytes] | None:
         """Headers and payload of a capture."""
         found = self.find(key)
-        return parse(next(members(_range(self.files, *found)))) if found else None
+        return parse(unpack(_range(self.files, *found[0]))) if found else None
 
 
-def read_archives(captures: DataFrame, parts: list[tuple[str, str, int, int]], range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Every record of the archives: page_id, payload_bytes, payload_digest, record_type, refers_to.
+def look_up(keys: DataFrame, parts: list[tuple[str, str, int, int]], tasks: int) -> DataFrame:
+    """(file, offset, length) of all captures of the distinct keys, through the index; a key without one ends the query."""
 
-    Archives are read in ranges that end between records; a revisit's payload is found through the index. Payloads are
-    hashed again, and a digest that differs from its header's ends the query.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = Index(parts)
+        for b in batches:
+            rows = []
+            for key in b.column(0).to_pylist():
+                found = index.find(key)
+                if not found:
+                    raise ValueError(f"no capture {key}")
+                rows += found
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * 3, (pa.string(), pa.int64(), pa.int64()))], ["file", "offset", "length"])
+
+    return keys.repartitionByRange(tasks, "key").sortWithinPartitions("key").mapInArrow(run, "file string, offset long, length long")
+
+
+def neighbours(rows: list[tuple[str, int, int]], most: int = READ_BYTES) -> Iterator[list[tuple[str, int, int]]]:
+    """Runs of records that follow each other in a file, of up to `most` bytes together, one record at least."""
+    run: list[tuple[str, int, int]] = []
+    for r in rows:
+        if run and (r[0] != run[-1][0] or r[1] != run[-1][1] + run[-1][2] or r[1] + r[2] - run[0][1] > most):
+            yield run
+            run = []
+        run.append(r)
+    if run:
+        yield run
+
+
+def read_archives(keys: DataFrame, parts: list[tuple[str, str, int, int]], tasks: int) -> DataFrame:
+    """The records of the distinct capture keys: page_id, payload_bytes, payload_digest, record_type, refers_to.
+
+    All are found through the index, a revisit's payload as well. Payloads are hashed again, and a digest that differs
+    from its header's ends the query.
     """
-    split = F.floor(F.col("offset") / range_bytes)
-    ranges = captures.groupBy("file", split.alias("n")).agg(F.min("offset").alias("a"), F.max(F.col("offset") + F.col("length")).alias("z"))
-    ranges = ranges.select("file", "a", "z").repartition("file", "a")
+    found = materialize(look_up(keys, parts, tasks), "found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, seen = Index(parts), OrderedDict()
+
+        def of(raw: bytes) -> tuple:
+            headers, payload = parse(raw)
+            said, kind = headers["WARC-Payload-Digest"].partition(":")[2], headers["WARC-Type"]
+            refers = _id(headers["WARC-Refers-To"]) if kind == "revisit" else None
+            if kind == "revisit":
+                key = capture_key(headers["WARC-Refers-To-Target-URI"], refers)
+                if key not in seen:
+                    target = index.read(key)
+                    if target is None:
+                        raise ValueError(f"no capture {key}")
+                    seen[key] = (len(target[1]), sha1_32(target[1]))
+                    if len(seen) > 10_000:
+                        seen.popitem(last=False)
+                size, digest = seen[key]
+            else:
+                size, digest = len(payload), sha1_32(payload)
+            if digest != said:
+                raise ValueError(f"{headers['WARC-Record-ID']}: digest {digest} where {said} is said")
+            return _id(headers["WARC-Record-ID"]), size, digest, kind, refers
+
         for b in batches:
-            for file, a, z in zip(*(b.column(k).to_pylist() for k in range(3))):
-                rows = []
-                for raw in members(_range(index.files, file, a, z - a)):
-                    headers, payload = parse(raw)
-                    said, kind = headers["WARC-Payload-Digest"].partition(":")[2], headers["WARC-Type"]
-                    refers = _id(headers["WARC-Refers-To"]) if kind == "revisit" else None
-                    if kind == "revisit":
-                        key = capture_key(headers["WARC-Refers-To-Target-URI"], refers)
-                        if key not in seen:
-                            found = index.read(key)
-                            if found is None:
-                                raise ValueError(f"no capture {key}")
-                            seen[key] = (len(found[1]), sha1_32(found[1]))
-                            if len(seen) > 10_000:
-                                seen.popitem(last=False)
-                        size, digest = seen[key]
-                    else:
-                        size, digest = len(payload), sha1_32(payload)
-                    if digest != said:
-                        raise ValueError(f"{file}: digest {digest} where {said} is said")
-                    rows.append((_id(headers["WARC-Record-ID"]), size, digest, kind, refers))
-                kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-
-    return ranges.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+            rows = []
+            for near in neighbours(list(zip(*(b.column(k).to_pylist() for k in range(3))))):
+                first = near[0][1]
+                data = memoryview(_range(index.files, near[0][0], first, near[-1][1] + near[-1][2] - first))
+                rows += [of(unpack(data[a - first : a - first + n])) for _, a, n in near]
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * 5, kinds)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+
+    # By place, not by hash: each task has a run of an archive, and tasks have alike many records.
+    placed = found.repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
+    return placed.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def archive_round_trip(df: DataFrame, at_least: int = 0) -> DataFrame:
     """Pages written to archives, indexed, and read back."""
     folder = scratch(df.sparkSession, "warc")
     captures = write_archives(df, folder, at_least=at_least)
-    return read_archives(captures, build_index(captures, folder))
+    size = captures.agg(F.sum("length")).first()[0] or 0
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // TASK_BYTES + 1)
+    return read_archives(captures.select("key").distinct(), build_index(captures, folder, tasks), tasks)
