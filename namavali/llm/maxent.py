@@ -1,23 +1,29 @@
 """Language-model scoring by a hashed maximum-entropy model.
 
-P(word | history) = P(class | history) * P(word | class). The class has a softmax over features of the history: the last
-word, the last two, and the words before last alone (skips). Features are 64-bit hashes; each has a weight for every
-class it was seen with in training, and none for the others, so the weights grow with the input. A word's class is its own if it is among the
-most frequent, and else follows from its last bytes; within a class words have add-half estimates, with one place for
-all unknown words, so the model's probabilities sum to one.
-
-Blocks of texts list their distinct words as 64-bit hashes; lists meet by share of the hashes, where all training counts
-are added, and go back to the blocks. Features meet by share of their hashes in the same way and give each block the
-weights of its features. In each round all blocks send the classes they expect and those they have seen for each
-feature, and the share moves the weight by the logarithm of their ratio (iterative scaling). No task holds all weights.
+P(word | history) = P(class | history) * P(word | class, history), each with a softmax over features of the history that
+are 64-bit hashes. The class has the last word and the two words before it alone (skips); a feature has a weight for
+every class it was seen with in training, and none for the others. Inside the class a word has the bigram of the last
+word and itself, with a weight if training has it. So weights grow with the input. A word's class is its own if it is
+among the most frequent, and else follows from its last bytes; the number of classes grows with the vocabulary.
+
+Blocks of texts list their distinct words; lists meet by share of the hashes, where all training counts are added, and
+go back to the blocks. Class features meet by share of their hashes in the same way and give each block the weights of
+its features. In each round all blocks send the classes they expect and those they have seen for each feature, and the
+share moves the weight by the logarithm of their ratio (iterative scaling). No task holds all weights.
+
+Bigrams meet by share of last word and class, so a frequent word's are dealt out by class. Weights of one last word and
+class touch no other's, so a share finds at once where the gradient of their penalised likelihood is zero: with n for
+the bigram's count, N and D for the counts and kinds that follow the last word in the class, and q for the word's add-half
+estimate in the class, the weight is log(1 + n / (D q)), so that the probability is (n + D q) / (N + D). All unknown words
+have one place in each class, so the model's probabilities sum to one.
 
 Defined results: a null text counts as empty and has its end token only; rows repeat as they come; with no training
-rows all counts are 0; an empty table gives an empty table; only the id and the text are read.
+rows all counts are 0; an empty table gives an empty table; only the id and the text are read. Blocks are named by
+partition and number and added in that order, so equal partitions have equal scores.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,21 +31,24 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import _remove, chunks, fold, materialize, mix, text_buffer, word_hashes, words
 
-#: Bytes of text in a block.
-BLOCK = 6_000_000
-#: Classes: the end, the most frequent words, and buckets of the others by their last two bytes.
-OWN, SUFFIXES = 15, 24
-CLASSES = 1 + OWN + SUFFIXES
+#: Bytes of text in a block, and in a share of the hashes at a mean.
+BLOCK, SHARE_BYTES = 6_000_000, 1 << 24
+#: Kinds of word endings that are counted, of which a class has one or more; most words of a share that may have a class
+#: of their own. With this many classes at most, a class is a byte.
+ENDINGS, MOST_OWN, MOST_SUFFIXES = 256, 90, 150
 #: Features a token; tokens taken at once; tokens that the classes' own frequencies count for beside a feature's.
-ACTIVE, STEP, PRIOR = 4, 8192, 1.0
+ACTIVE, STEP, PRIOR = 3, 8192, 1.0
+#: Parts of a unit in which logarithms of probabilities inside a class are told; bits of a name of last word and class.
+PARTS, NAME = 4096, 48
 END = np.uint64(0x5DEECE66D1234567)
 _START = np.uint64(0x2545F4914F6CDD1D)
-_SEED = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
+_SEED = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xC2B2AE3D27D4EB4F)]
 
 
 def _pack(a: np.ndarray) -> bytes:
@@ -50,8 +59,20 @@ def _unpack(b: bytes, kind) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(b, max_output_size=1 << 31), kind)
 
 
+def _planes(x: np.ndarray, bytes_each: int) -> bytes:
+    """Numbers packed by byte planes, so that high bytes, which are mostly zero, cost nothing."""
+    return _pack(np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :bytes_each].T))
+
+
+def _numbers(raw: bytes, bytes_each: int) -> np.ndarray:
+    planes = _unpack(raw, np.uint8).reshape(bytes_each, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :bytes_each] = planes.T
+    return out.view("<u8").ravel()
+
+
 def token_block(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes and suffix buckets of all tokens, ends included, and each text's number of tokens."""
+    """Hashes and kinds of ending of all tokens, ends included, and each text's number of tokens."""
     hashes, buckets, sizes = [], [], []
     for i, j in chunks(offsets):
         part, starts, ends, row = words(data, offsets, i, j)
@@ -60,31 +81,34 @@ def token_block(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         n = np.bincount(row, minlength=j - i)
         at = np.cumsum(n)
         hashes.append(np.insert(word_hashes(part, starts, ends), at, END))
-        buckets.append(np.insert((mix(last * np.uint64(256) + two + np.uint64(1)) % np.uint64(SUFFIXES)).astype(np.uint8), at, np.uint8(0)))
+        buckets.append(np.insert((mix(last * np.uint64(256) + two + np.uint64(1)) % np.uint64(ENDINGS)).astype(np.uint8), at, np.uint8(0)))
         sizes.append(n + 1)
     cat = lambda x, kind: np.concatenate(x).astype(kind) if x else np.zeros(0, kind)
     return cat(hashes, np.uint64), cat(buckets, np.uint8), cat(sizes, np.int64)
 
 
 def list_blocks(df: DataFrame, id_col: str, text_col: str, held: int, folds: int, shares: int, block: int = BLOCK) -> DataFrame:
-    """Rows of two kinds for each block: share -1 has the texts as places in the block's dictionary, the others the
-    dictionary's hashes of a share, their training counts and suffix buckets."""
+    """Rows of two kinds for each block: share -1 has the texts as places in the block's dictionary, by frequency, and these
+    places' order by hash; the others have the dictionary's hashes of a share, their training counts and endings."""
 
-    def out(ids: list, held_out: list, texts: list[pa.Array]) -> pa.RecordBatch:
+    def out(no: int, ids: list, held_out: list, texts: list[pa.Array]) -> pa.RecordBatch:
         data, offsets = text_buffer(pa.chunked_array(texts).combine_chunks())
         h, bucket, sizes = token_block(data, offsets)
         names, first, at = np.unique(h, return_index=True, return_inverse=True)
         train = np.bincount(at, np.repeat(~np.array(held_out, bool), sizes), len(names)).astype(np.uint32)
         share = ((names >> np.uint64(32)) * np.uint64(shares)) >> np.uint64(32)
         cuts = np.searchsorted(share, np.arange(shares + 1))
-        key = uuid.uuid4().hex
-        rows = [(key, -1, ids, held_out, _pack(sizes.astype(np.uint32)), _pack(at.astype(np.uint32)), None)]
+        order = np.argsort(-np.bincount(at, minlength=len(names)), kind="stable")
+        rank = np.empty(len(names), np.int64)
+        rank[order] = np.arange(len(names))
+        key = f"{TaskContext.get().partitionId():08d}-{no:08d}"
+        rows = [(key, -1, ids, held_out, _pack(sizes.astype(np.uint32)), _planes(rank[at], 4), _planes(order, 4))]
         rows += [(key, k, None, None, _pack(names[a:z]), _pack(train[a:z]), _pack(bucket[first[a:z]])) for k, (a, z) in enumerate(zip(cuts, cuts[1:])) if z > a]
         kinds = (pa.string(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["block", "share", "ids", "held", "a", "b", "c"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, gone, texts, size = [], [], [], 0
+        ids, gone, texts, size, no = [], [], [], 0, 0
         for b in batches:
             _, offsets = text_buffer(b.column(2))
             for i, j in chunks(offsets, block):
@@ -93,10 +117,10 @@ def list_blocks(df: DataFrame, id_col: str, text_col: str, held: int, folds: int
                 texts.append(b.column(2)[i:j].cast(pa.string()))
                 size += int(offsets[j] - offsets[i])
                 if size >= block:
-                    yield out(ids, gone, texts)
-                    ids, gone, texts, size = [], [], [], 0
+                    yield out(no, ids, gone, texts)
+                    ids, gone, texts, size, no = [], [], [], 0, no + 1
         if ids:
-            yield out(ids, gone, texts)
+            yield out(no, ids, gone, texts)
 
     away = F.coalesce(fold(F.col(id_col), folds) == held, F.lit(False))
     rows = df.select(F.col(id_col).cast("long").alias("id"), away.alias("held"), F.col(text_col).alias("text"))
@@ -107,6 +131,7 @@ def count_words(lists: DataFrame) -> DataFrame:
     """For each (block, share), all training counts of its words, in order; and a row for the share's totals, block null."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block")
         h = [_unpack(x, np.uint64) for x in pdf["a"]]
         n = [_unpack(x, np.uint32) for x in pdf["b"]]
         names, first, at = np.unique(np.concatenate(h), return_index=True, return_inverse=True)
@@ -114,9 +139,9 @@ def count_words(lists: DataFrame) -> DataFrame:
         bucket = np.concatenate([_unpack(x, np.uint8) for x in pdf["c"]])[first]
         known = total > 0
         body = known & (names != END)
-        sums = np.concatenate([np.bincount(bucket[body], total[body], SUFFIXES), np.bincount(bucket[body], minlength=SUFFIXES)]).astype(np.int64)
+        sums = np.concatenate([np.bincount(bucket[body], total[body], ENDINGS), np.bincount(bucket[body], minlength=ENDINGS)]).astype(np.int64)
         top = np.flatnonzero(body)
-        top = top[np.lexsort((names[top], -total[top]))][:OWN]
+        top = top[np.lexsort((names[top], -total[top]))][:MOST_OWN]
         end = total[names == END].sum()
         told = np.concatenate([[end], sums, total[top], bucket[top], names[top].view(np.int64)]).astype(np.int64)
         ends = np.cumsum([len(x) for x in h])[:-1]
@@ -128,51 +153,63 @@ def count_words(lists: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """Totals of the training tokens: of all, of classes, and the words with classes of their own."""
+    """Totals of the training tokens: of all, of classes, and the words with classes of their own.
+
+    Classes: the end, words of their own, and the other words by their ending."""
 
     tokens: int
     distinct: int
-    ends: int
+    suffixes: int
     own: np.ndarray  # hashes, ascending
     own_class: np.ndarray
     class_tokens: np.ndarray
     class_words: np.ndarray
 
-    def classes(self, names: np.ndarray, bucket: np.ndarray) -> np.ndarray:
-        out = bucket.astype(np.int64) + 1 + OWN
+    @property
+    def kinds(self) -> int:
+        return len(self.class_tokens)
+
+    @property
+    def shared(self) -> int:
+        """The first class of more than one word."""
+        return self.kinds - self.suffixes
+
+    def classes(self, names: np.ndarray, ending: np.ndarray) -> np.ndarray:
+        out = ending.astype(np.int64) * self.suffixes // ENDINGS + self.shared
         if len(self.own):
             k = np.minimum(np.searchsorted(self.own, names), len(self.own) - 1)
             out = np.where(self.own[k] == names, self.own_class[k], out)
         return np.where(names == END, 0, out)
 
     def inside(self, counts: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        """log10 P(word | class)."""
-        log = np.log10((counts + 0.5) / (self.class_tokens[cls] + 0.5 * (self.class_words[cls] + 1)))
-        return np.where(cls <= OWN, 0.0, log)
+        """The add-half estimate of a word in its class."""
+        return np.where(cls < self.shared, 1.0, (counts + 0.5) / (self.class_tokens[cls] + 0.5 * (self.class_words[cls] + 1)))
 
 
 def vocabulary(told: list[bytes]) -> Vocabulary:
-    ends, tokens, kinds, top = 0, np.zeros(SUFFIXES, np.int64), np.zeros(SUFFIXES, np.int64), []
+    ends, tokens, words_of, top = 0, np.zeros(ENDINGS, np.int64), np.zeros(ENDINGS, np.int64), []
     for raw in told:
         x = np.frombuffer(raw, np.int64)
         ends += int(x[0])
-        tokens += x[1 : 1 + SUFFIXES]
-        kinds += x[1 + SUFFIXES : 1 + 2 * SUFFIXES]
-        k = (len(x) - 1 - 2 * SUFFIXES) // 3
-        rest = x[1 + 2 * SUFFIXES :].reshape(3, k)
+        tokens += x[1 : 1 + ENDINGS]
+        words_of += x[1 + ENDINGS : 1 + 2 * ENDINGS]
+        rest = x[1 + 2 * ENDINGS :].reshape(3, -1)
         top += [(-int(c), int(h), int(b)) for c, b, h in rest.T]
-    top = sorted(top)[:OWN]
-    n, v = int(tokens.sum()) + ends, int(kinds.sum()) + (ends > 0)
-    class_tokens, class_words = np.zeros(CLASSES), np.zeros(CLASSES)
+    n, v = int(tokens.sum()) + ends, int(words_of.sum()) + (ends > 0)
+    suffixes = min(MOST_SUFFIXES, max(8, round(v**0.25)))
+    top = sorted(top)[: min(MOST_OWN, suffixes * 3 // 5)]
+    class_tokens, class_words = np.zeros(1 + len(top) + suffixes), np.zeros(1 + len(top) + suffixes)
     class_tokens[0] = ends
     for i, (c, _, b) in enumerate(top):
         class_tokens[1 + i], class_words[1 + i] = -c, 1
         tokens[b] += c
-        kinds[b] -= 1
-    class_tokens[1 + OWN :], class_words[1 + OWN :] = tokens, kinds
+        words_of[b] -= 1
+    of = np.arange(ENDINGS) * suffixes // ENDINGS + 1 + len(top)
+    np.add.at(class_tokens, of, tokens)
+    np.add.at(class_words, of, words_of)
     own = np.array([h for _, h, _ in top], np.int64).view(np.uint64)
     order = np.argsort(own)
-    return Vocabulary(n, v, ends, own[order], (order + 1).astype(np.int64), class_tokens, class_words)
+    return Vocabulary(n, v, suffixes, own[order], (order + 1).astype(np.int64), class_tokens, class_words)
 
 
 def contexts(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -180,8 +217,28 @@ def contexts(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     at = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     back = [np.where(at >= k, np.concatenate([np.full(min(k, len(h)), _START), h[: max(0, len(h) - k)]]), _START) for k in (1, 2, 3)]
     with np.errstate(over="ignore"):
-        made = (back[0] * _SEED[0], back[0] * _SEED[1] + mix(back[1]), back[1] * _SEED[2], back[2] * _SEED[3])
-        return np.stack([mix(x + s) for x, s in zip(made, _SEED)], 1)
+        return np.stack([mix(x * s + s) for x, s in zip(back, _SEED)], 1)
+
+
+def bigrams(sizes: np.ndarray, places: np.ndarray, names: np.ndarray, cls: np.ndarray, v: Vocabulary, held: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct bigrams of a block with words of shared classes, by name of last word and class, and word: names, words'
+    places, training counts; and the tokens with such words, and each one's bigram.
+
+    places: of tokens, in names; cls: of names."""
+    first = np.zeros(len(places), bool)
+    first[np.cumsum(sizes) - sizes] = True
+    use = np.flatnonzero(cls[places] >= v.shared)
+    last = np.where(first[use], len(names), places[use - 1]).astype(np.int64)
+    pairs, at = np.unique(last * len(names) + places[use], return_inverse=True)
+    word = pairs % max(len(names), 1)
+    before = np.append(names, _START)[pairs // max(len(names), 1)]
+    with np.errstate(over="ignore"):
+        name = mix(before * _SEED[3] + cls[word].astype(np.uint64) * _SEED[0]) >> np.uint64(64 - NAME)
+    order = np.lexsort((names[word], name))
+    back = np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
+    seen = np.bincount(at, np.repeat(~held, sizes)[use], len(pairs)).astype(np.int64)
+    return name[order], word[order], seen[order], use, back[at]
 
 
 def spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -191,7 +248,8 @@ def spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 def log_softmax(bias: np.ndarray, token: np.ndarray, cls: np.ndarray, w: np.ndarray, tokens: int) -> np.ndarray:
     """token, cls and w list the weights that meet at the tokens."""
-    z = np.bincount(token * CLASSES + cls, w, tokens * CLASSES).reshape(tokens, CLASSES) + bias
+    kinds = len(bias)
+    z = np.bincount(token * kinds + cls, w, tokens * kinds).reshape(tokens, kinds) + bias
     z -= z.max(1, keepdims=True)
     return z - np.log(np.exp(z).sum(1, keepdims=True))
 
@@ -215,7 +273,7 @@ def _read(b: pa.RecordBatch) -> Iterator[tuple]:
             block["ids"],
             np.array(block["held"], bool),
             _unpack(block["sizes"], np.uint32).astype(np.int64),
-            _unpack(block["places"], np.uint32),
+            _numbers(block["order"], 4)[_numbers(block["places"], 4)].astype(np.int64),
             _unpack(block["names"], np.uint64),
             _unpack(block["buckets"], np.uint8),
             _unpack(block["counts"], np.int64) if block["counts"] else None,
@@ -231,14 +289,14 @@ def feature_lists(blocks: DataFrame, v: Vocabulary, shares: int) -> DataFrame:
                 feats, at = np.unique(contexts(names[places], sizes), return_inverse=True)
                 use = np.repeat(~held, sizes)
                 cls = v.classes(names, buckets)[places][use]
-                pairs, seen = np.unique((at.reshape(-1, ACTIVE)[use] * CLASSES + cls[:, None]).ravel(), return_counts=True)
+                pairs, seen = np.unique((at.reshape(-1, ACTIVE)[use] * v.kinds + cls[:, None]).ravel(), return_counts=True)
                 share = ((feats >> np.uint64(32)) * np.uint64(shares)) >> np.uint64(32)
                 cuts = np.searchsorted(share, np.arange(shares + 1))
-                n = np.bincount(pairs // CLASSES, minlength=len(feats)).astype(np.uint8)
-                ends = np.searchsorted(pairs, cuts * CLASSES)
+                n = np.bincount(pairs // v.kinds, minlength=len(feats)).astype(np.uint8)
+                ends = np.searchsorted(pairs, cuts * v.kinds)
                 for k, (a, z, i, j) in enumerate(zip(cuts, cuts[1:], ends, ends[1:])):
                     if z > a:
-                        cols = [key], [k], [_pack(feats[a:z])], [_pack(n[a:z])], [_pack((pairs[i:j] % CLASSES).astype(np.uint8))], [_pack(seen[i:j].astype(np.uint32))]
+                        cols = [key], [k], [_pack(feats[a:z])], [_pack(n[a:z])], [_pack((pairs[i:j] % v.kinds).astype(np.uint8))], [_pack(seen[i:j].astype(np.uint32))]
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), *[pa.binary()] * 4))], ["block", "share", "f", "n", "c", "seen"])
 
     return blocks.mapInArrow(run, "block string, share int, f binary, n binary, c binary, seen binary")
@@ -255,14 +313,17 @@ def _places(at: np.ndarray) -> bytes:
 def start_weights(lists: DataFrame, bias: np.ndarray) -> DataFrame:
     """For each block and share, all weights of the block's features: at first an equal part of what each would say alone."""
 
+    kinds = len(bias)
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block")
         f = [_unpack(x, np.uint64) for x in pdf["f"]]
         feats, at = np.unique(np.concatenate(f), return_inverse=True)
         n = np.concatenate([_unpack(x, np.uint8) for x in pdf["n"]])
         c = np.concatenate([_unpack(x, np.uint8) for x in pdf["c"]])
-        pairs, where = np.unique(np.repeat(at, n) * CLASSES + c, return_inverse=True)
+        pairs, where = np.unique(np.repeat(at, n) * kinds + c, return_inverse=True)
         seen = np.bincount(where, np.concatenate([_unpack(x, np.uint32) for x in pdf["seen"]]), len(pairs))
-        mine, cls = pairs // CLASSES, pairs % CLASSES
+        mine, cls = pairs // kinds, pairs % kinds
         total, p = np.bincount(mine, seen, len(feats)), np.exp(bias.astype(np.float64))
         w = (np.log((seen + PRIOR * p[cls]) / ((total[mine] + PRIOR) * p[cls])) / ACTIVE).astype(np.float16)
         num = np.bincount(mine, minlength=len(feats))
@@ -280,10 +341,11 @@ def moved_weights(told: DataFrame, pace: float) -> DataFrame:
     """The weights after a round: each moves by the logarithm of seen over expected, of all blocks, one added to both."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block")
         read = lambda col, kind: [_unpack(x, kind) for x in pdf[col]]
         at = np.concatenate([np.cumsum(x, dtype=np.int64) for x in read("f", np.uint32)])
         c = read("c", np.uint8)
-        pairs, first, where = np.unique(np.repeat(at, np.concatenate(read("n", np.uint8))) * CLASSES + np.concatenate(c), return_index=True, return_inverse=True)
+        pairs, first, where = np.unique(np.repeat(at, np.concatenate(read("n", np.uint8))) * (ENDINGS * 2) + np.concatenate(c), return_index=True, return_inverse=True)
         seen = np.bincount(where, np.concatenate(read("seen", np.uint32)), len(pairs))
         hoped = np.bincount(where, np.concatenate(read("hoped", np.float16)).astype(np.float64) ** 2, len(pairs))
         w = (np.concatenate(read("w", np.float16))[first] + pace * np.log((seen + 1) / (hoped + 1))).astype(np.float16)
@@ -294,26 +356,83 @@ def moved_weights(told: DataFrame, pace: float) -> DataFrame:
     return told.groupBy("share").applyInPandas(run, _ROWS)
 
 
+def word_lists(blocks: DataFrame, v: Vocabulary, shares: int) -> DataFrame:
+    """For each block and share: names of last word and class, how many words follow each, the class, and for each of
+    these words 32 bits of its hash, its training count, and the bigram's in the block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, (_, held, sizes, places, names, buckets, counts) in zip(batch.column(0).to_pylist(), _read(batch)):
+                cls = v.classes(names, buckets)
+                name, word, seen, _, _ = bigrams(sizes, places, names, cls, v, held)
+                first = np.flatnonzero(np.append(True, name[1:] != name[:-1])[: len(name)])
+                share = ((name[first] >> np.uint64(NAME - 32)) * np.uint64(shares)) >> np.uint64(32)
+                cuts = np.searchsorted(share, np.arange(shares + 1))
+                starts = np.append(first, len(name))
+                for k, (a, z) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())):
+                    if z > a:
+                        i, j = int(starts[a]), int(starts[z])
+                        cols = [
+                            _planes(np.diff(name[first[a:z]], prepend=np.uint64(0)), 6), _planes(np.diff(starts[a : z + 1]), 4), _pack(cls[word[first[a:z]]].astype(np.uint8)),
+                            _pack((names[word[i:j]] & np.uint64(0xFFFFFFFF)).astype(np.uint32)), _planes(counts[word[i:j]], 5), _planes(seen[i:j], 4),
+                        ]
+                        yield pa.RecordBatch.from_arrays([pa.array([key]), pa.array([k], pa.int32()), *(pa.array([x], pa.binary()) for x in cols)], ["block", "share", "f", "n", "c", "word", "count", "seen"])
+
+    return blocks.mapInArrow(run, "block string, share int, f binary, n binary, c binary, word binary, count binary, seen binary")
+
+
+def word_weights(lists: DataFrame, v: Vocabulary) -> DataFrame:
+    """For each block and share, -PARTS * log10 P(word | class, last word) of the block's bigrams."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block")
+        name = [np.cumsum(_numbers(x, 6), dtype=np.uint64) for x in pdf["f"]]
+        n = [_numbers(x, 4).astype(np.int64) for x in pdf["n"]]
+        _, at = np.unique(np.concatenate(name), return_inverse=True)
+        many = np.concatenate(n)
+        last = np.repeat(at, many)
+        word = np.concatenate([_unpack(x, np.uint32) for x in pdf["word"]])
+        pairs, first, where = np.unique(last.astype(np.uint64) << np.uint64(32) | word, return_index=True, return_inverse=True)
+        seen = np.bincount(where, np.concatenate([_numbers(x, 4) for x in pdf["seen"]]), len(pairs))
+        mine = last[first]
+        total, different = np.bincount(mine, seen), np.bincount(mine, seen > 0)
+        cls = np.repeat(np.concatenate([_unpack(x, np.uint8) for x in pdf["c"]]), many)[first].astype(np.int64)
+        q = v.inside(np.concatenate([_numbers(x, 5) for x in pdf["count"]])[first], cls)
+        d = different[mine]
+        weight = np.log1p(np.divide(seen, d * q, out=np.zeros(len(q)), where=d > 0))  # 0 for words that don't follow in training
+        log = weight + np.log(q) + np.log(np.where(d > 0, d / np.maximum(total[mine] + d, 1), 1.0))  # less the logarithm of the softmax's sum
+        told = np.minimum(np.round(-PARTS / np.log(10) * log), 65535).astype(np.uint16)[where]
+        ends = np.cumsum([x.sum() for x in n])[:-1]
+        rows = [(b, s, _planes(x, 2)) for b, s, x in zip(pdf["block"], pdf["share"], np.split(told, ends))]
+        return pd.DataFrame(rows, columns=["block", "share", "w"])
+
+    return lists.groupBy("share").applyInPandas(run, "block string, share int, w binary")
+
+
 def _with_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """Blocks with the rows of their weights, from what join_weights gives."""
-    rows = []
+    rows, inside = [], []
     for b in batches:
         for r in range(b.num_rows):
             one = b.slice(r, 1)
-            if one.column("kind")[0].as_py() == 0:
+            kind = one.column("kind")[0].as_py()
+            if kind == 0:
                 rows.append({k: one.column(k)[0].as_py() for k in ("share", "f", "n", "c", "w")})
                 continue
+            if kind == 1:
+                inside.append(_numbers(one.column("w")[0].as_py(), 2).astype(np.uint16))
+                continue
             key, block = one.column("block")[0].as_py(), next(_read(one))
             cat = lambda k, kind: np.concatenate([_unpack(x[k], kind) for x in rows])  # noqa: B023, E731
             n, cls, w = cat("n", np.uint8).astype(np.int64), cat("c", np.uint8), cat("w", np.float16).astype(np.float32)
             at = np.unique(contexts(block[4][block[3]], block[2]), return_inverse=True)[1].reshape(-1, ACTIVE)
-            yield key, block, rows, at, np.cumsum(n) - n, n, cls, w
-            rows = []
+            yield key, block, rows, at, np.cumsum(n) - n, n, cls, w, inside
+            rows, inside = [], []
 
 
 def join_weights(blocks: DataFrame, rows: DataFrame) -> DataFrame:
     """Each block after the rows of its weights, by share."""
-    both = blocks.withColumn("kind", F.lit(1)).unionByName(rows.withColumn("kind", F.lit(0)), allowMissingColumns=True)
+    both = blocks.withColumn("kind", F.lit(2)).unionByName(rows.withColumn("kind", F.lit(0)) if "kind" not in rows.columns else rows, allowMissingColumns=True)
     return both.repartition("block").sortWithinPartitions("block", "kind", "share")
 
 
@@ -333,12 +452,12 @@ def join_counts(lists: DataFrame, counted: DataFrame) -> DataFrame:
                 elif r["kind"] == 1:
                     counts.append(_unpack(r["a"], np.int64))
                 else:
-                    cols = [[r["block"]], [r["ids"]], [r["held"]], [r["a"]], [r["b"]], *([_pack(np.concatenate(x))] for x in (names, buckets, counts))]
-                    kinds = (pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 5)
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["block", "ids", "held", "sizes", "places", "names", "buckets", "counts"])
+                    cols = [[r["block"]], [r["ids"]], [r["held"]], [r["a"]], [r["b"]], [r["c"]], *([_pack(np.concatenate(x))] for x in (names, buckets, counts))]
+                    kinds = (pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), *[pa.binary()] * 6)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["block", "ids", "held", "sizes", "places", "order", "names", "buckets", "counts"])
                     names, buckets, counts = [], [], []
 
-    return both.mapInArrow(run, "block string, ids array<long>, held array<boolean>, sizes binary, places binary, names binary, buckets binary, counts binary")
+    return both.mapInArrow(run, "block string, ids array<long>, held array<boolean>, sizes binary, places binary, order binary, names binary, buckets binary, counts binary")
 
 
 def _keep(df: DataFrame, tag: str) -> DataFrame:
@@ -369,7 +488,7 @@ def train(blocks: DataFrame, v: Vocabulary, shares: int, rounds: int = 2, rate:
     rows = _keep(start_weights(feature_lists(blocks, v, shares), bias), "weights")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, (_, held, sizes, places, names, buckets, _), parts, at, first, n, cls, w in _with_weights(batches):
+        for key, (_, held, sizes, places, names, buckets, _), parts, at, first, n, cls, w, _ in _with_weights(batches):
             use = np.repeat(~held, sizes)
             own, at = v.classes(names, buckets)[places][use], at[use]
             seen, hoped = np.zeros(len(w), np.uint32), np.zeros(len(w), np.float32)
@@ -393,22 +512,28 @@ def train(blocks: DataFrame, v: Vocabulary, shares: int, rounds: int = 2, rate:
 
 def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held: int = 1, folds: int = 5, rounds: int = 2) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    shares = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // SHARE_BYTES)
     lists = _keep(list_blocks(df, id_col, text_col, held, folds, shares), "lists")
     counted = _keep(count_words(lists), "counts")
     v = vocabulary([bytes(r["d"]) for r in counted.where("block IS NULL").select("d").collect()])  # one short row a share
     blocks = _keep(join_counts(lists, counted), "blocks")
     _forget(lists, counted)
+    inside = _keep(word_weights(word_lists(blocks, v, shares), v), "words")
     rows, bias = train(blocks, v, shares, rounds), class_bias(v)
+    rows = rows.withColumn("kind", F.lit(0)).unionByName(inside.withColumn("kind", F.lit(1)), allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (ids, gone, sizes, places, names, buckets, counts), _, at, first, n, kinds, w in _with_weights(batches):
+        for _, (ids, gone, sizes, places, names, buckets, counts), _, at, first, n, kinds, w, told in _with_weights(batches):
             cls = v.classes(names, buckets)
-            inside = v.inside(counts, cls)[places]
+            model = np.zeros(len(places))
+            _, _, _, use, pair = bigrams(sizes, places, names, cls, v, gone)
+            if len(use):
+                model[use] = np.concatenate(told)[pair] / -PARTS
             base = np.log10((counts + 0.5) / (v.tokens + 0.5 * (v.distinct + 1)))[places]
             c = cls[places]
             for a, z, _, _ in steps(bias, at, first, n, kinds, w):
-                inside[a : a + STEP] += z[np.arange(len(z)), c[a : a + STEP]] / np.log(10)
+                model[a : a + STEP] += z[np.arange(len(z)), c[a : a + STEP]] / np.log(10)
             at = np.cumsum(sizes) - sizes
             total = lambda x: pa.array(np.add.reduceat(x, at))  # noqa: B023, E731
             yield pa.RecordBatch.from_arrays(
@@ -419,7 +544,7 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
                     pa.array(np.add.reduceat((counts > 0)[places].astype(np.int64), at)),
                     pa.array(np.full(len(ids), v.tokens, np.int64)),
                     total(base),
-                    total(inside.astype(np.float64)),
+                    total(model),
                 ],
                 [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )

@@ -10,10 +10,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from namavali.llm import html_text, maxent, packing, quality, queries, warc
+from namavali.llm.common import text_buffer
 from tests.llm.test_text_ops import ODD, WORD, documents, lower
 
 PAGE = "page_id long, url string, html string"
@@ -192,21 +194,116 @@ def test_maxent(spark):
     assert maxent.score_texts(documents(spark, [])).count() == 0
 
 
+def plain_maxent(texts, rounds=2):
+    """The model's log10 probability of each text, one token at a time, in dictionaries."""
+    tokens = [[*WORD.findall(lower(t or "")), None] for t in texts]
+    train = [zlib.crc32(str(i).encode()) % 5 != 1 for i in range(len(texts))]
+    count = Counter(w for ws, use in zip(tokens, train) if use for w in ws)
+    words = sorted({w for ws in tokens for w in ws if w is not None})
+    data, offsets = text_buffer(pa.array(words))
+    h, ending, _ = maxent.token_block(data, offsets)
+    ends = np.cumsum([2] * len(words)) - 2  # each word is followed by an end
+    ending_of = dict(zip(words, ending[ends].tolist()))
+    v = round((len(count)) ** 0.25)
+    suffixes = max(8, v)
+    hash_of = dict(zip(words, h[ends].view(np.int64).tolist()))
+    top = sorted((w for w in count if w is not None), key=lambda w: (-count[w], hash_of[w] % (1 << 64)))[: suffixes * 3 // 5]
+    cls = lambda w: "end" if w is None else w if w in top else ending_of[w] * suffixes // 256
+    kinds = ["end", *top, *range(suffixes)]
+    size = {c: sum(n for w, n in count.items() if cls(w) == c) for c in kinds}
+    many = {c: sum(cls(w) == c for w in count) for c in kinds}
+    p = {c: (size[c] + 0.5) / (sum(size.values()) + 0.5 * len(kinds)) for c in kinds}
+    back = lambda ws, i: [(k, ws[i - k] if i >= k else "start of text") for k in (1, 2, 3)]
+    seen = {}
+    for ws, use in zip(tokens, train):
+        for i, w in enumerate(ws if use else []):
+            for f in back(ws, i):
+                seen.setdefault(f, Counter())[cls(w)] += 1
+    weight = {f: {c: math.log((n + p[c]) / ((x.total() + 1) * p[c])) / 3 for c, n in x.items()} for f, x in seen.items()}
+
+    def chances(ws, i):
+        z = {c: math.log(p[c]) + sum(weight.get(f, {}).get(c, 0) for f in back(ws, i)) for c in kinds}
+        total = sum(map(math.exp, z.values()))
+        return {c: math.exp(x) / total for c, x in z.items()}
+
+    for k in range(rounds):
+        hoped = {}
+        for ws, use in zip(tokens, train):
+            for i in range(len(ws) if use else 0):
+                q = chances(ws, i)
+                for f in back(ws, i):
+                    for c in weight[f]:
+                        hoped[f, c] = hoped.get((f, c), 0) + q[c]
+        for f, x in weight.items():
+            for c in x:
+                x[c] += 0.5 / (1 + k) * math.log((seen[f][c] + 1) / (hoped[f, c] + 1))
+    after = {}
+    for ws, use in zip(tokens, train):
+        for i, w in enumerate(ws if use else []):
+            after.setdefault((ws[i - 1] if i else "start of text", cls(w)), Counter())[w] += 1
+    out = []
+    for ws in tokens:
+        score = 0
+        for i, w in enumerate(ws):
+            c = cls(w)
+            score += math.log10(chances(ws, i)[c])
+            if isinstance(c, int):
+                q, x = (count[w] + 0.5) / (size[c] + 0.5 * (many[c] + 1)), after.get((ws[i - 1] if i else "start of text", c), Counter())
+                score += math.log10((x[w] + len(x) * q) / (x.total() + len(x)) if x else q)
+        out.append(score)
+    return out
+
+
+def test_maxent_against_a_plain_model(spark, monkeypatch):
+    monkeypatch.setattr(maxent, "BLOCK", 2000)
+    monkeypatch.setattr(maxent.list_blocks, "__defaults__", (2000,))
+    r = random.Random(10)
+    words = [f"w{i}{e}" for i in range(60) for e in ("ed", "ing", "s", "ou")]
+    texts = ODD[:6] + ODD[7:] + [" ".join(r.choices(words, [1 / (i + 1) for i in range(len(words))], k=r.randint(1, 60))) for _ in range(150)]
+    texts += texts[20:60]  # copies, some of them held out
+    want = plain_maxent(texts)
+    df = documents(spark, texts).repartition(3).cache()
+    got = {x.doc_id: x.score for x in maxent.score_texts(df).collect()}
+    assert [got[i] for i in range(len(texts))] == pytest.approx(want, rel=5e-3, abs=2e-2)
+    assert {x.doc_id: x.score for x in maxent.score_texts(df).collect()} == got
+
+
+def test_maxent_null_ids_repeats_and_long_texts(spark):
+    df = spark.createDataFrame([(None, "a b c"), (3, "a b"), (3, "a b"), (5, "x y z " * 400_000)], "doc_id long, text string").withColumn("held_out", F.lit("clash"))
+    rows = maxent.score_texts(df).collect()
+    assert sorted((x.doc_id or 0, x.n_tokens) for x in rows) == [(0, 4), (3, 3), (3, 3), (5, 1_200_001)]
+    assert len({x.score for x in rows if x.doc_id == 3}) == 1 and all(x.score < 0 for x in rows)
+
+
 def test_maxent_features_grow():
     """Distinct words before a token are distinct features, however many there are."""
     words = np.arange(1, 200_001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     f = maxent.contexts(words, np.array([len(words)]))
-    assert len(np.unique(f[:, 0])) == len(words) and len(np.unique(f)) > 3 * len(words)
-
-
-def test_maxent_sums_to_one():
-    v = maxent.vocabulary([np.array([3, *([0] * 23), 10, *([0] * 23), 3, 4, 23, 5], np.int64).tobytes()])
-    names, counts = np.array([5, 6, 7, maxent.END], np.uint64), np.array([4, 3, 3, 3])
-    cls = v.classes(names, np.array([23, 23, 23, 0], np.uint8))
-    inside = 10 ** v.inside(counts, cls)
-    c = cls[1]
-    unknown = 0.5 / (v.class_tokens[c] + 0.5 * (v.class_words[c] + 1))
-    assert inside[1] + inside[2] + unknown == pytest.approx(1) and inside[0] == inside[3] == 1
+    assert len(np.unique(f[:, 0])) == len(words) and len(np.unique(f)) > 2.9 * len(words)
+
+
+def told(counts):
+    """What one share tells of its words: {ending: count}."""
+    tokens, words = np.zeros(256, np.int64), np.zeros(256, np.int64)
+    for e, c in counts:
+        tokens[e] += c
+        words[e] += 1
+    top = sorted(((c, i, e) for i, (e, c) in enumerate(counts)), reverse=True)[: maxent.MOST_OWN]
+    return np.concatenate([[3], tokens, words, *np.array([(c, e, i) for c, i, e in top], np.int64).T]).astype(np.int64).tobytes()
+
+
+def test_maxent_classes():
+    v = maxent.vocabulary([told([(r % 256, 1 + r % 7) for r in range(3000)])])
+    assert v.suffixes == max(8, round(3001**0.25)) and v.kinds == 1 + len(v.own) + v.suffixes and v.class_tokens.sum() == v.tokens
+    big = maxent.vocabulary([told([(r % 256, 1 + r % 7) for r in range(50_000)])])
+    assert big.kinds > v.kinds  # classes grow with the vocabulary
+    names, counts = np.arange(3000, dtype=np.uint64), np.array([1 + r % 7 for r in range(3000)])
+    cls, q = v.classes(names, np.arange(3000) % 256), None
+    q = v.inside(counts, cls)
+    for c in range(1, v.kinds):
+        unknown = 0.5 / (v.class_tokens[c] + 0.5 * (v.class_words[c] + 1)) if c >= v.shared else 0
+        assert q[cls == c].sum() + unknown == pytest.approx(1)
+    assert v.classes(np.array([maxent.END]), np.array([0]))[0] == 0
 
 
 # ---- classifier ------------------------------------------------------------------------------------------------------
