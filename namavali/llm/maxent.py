@@ -1,15 +1,15 @@
 """Language-model scoring by a hashed maximum-entropy model.
 
-P(word | history) = P(class | history) * P(word | class, history), each with a softmax over features of the history that
-are 64-bit hashes. The class has the last word and the two words before it alone (skips); a feature has a weight for
-every class it was seen with in training, and none for the others. Inside the class a word has the bigram of the last
-word and itself, with a weight if training has it. So weights grow with the input. A word's class is its own if it is
-among the most frequent, and else follows from its last bytes; the number of classes grows with the vocabulary.
+P(word | history) = P(class | history) * P(word | class, history), each with a softmax over features of the history. The
+class has the last word and the word before it alone (a skip): frequent words have rows of their own in a table of
+weights by class, rarer ones share a row by their ending. Inside the class a word has the bigram of the last word and
+itself, with a weight if training has it, so these weights grow with the input. A word's class is its own if it is among
+the most frequent, and else follows from its last bytes; classes and rows grow with the vocabulary and the corpus.
 
-Blocks of texts list their distinct words; lists meet by share of the hashes, where all training counts are added, and
-go back to the blocks. Class features meet by share of their hashes in the same way and give each block the weights of
-its features. In each round all blocks send the classes they expect and those they have seen for each feature, and the
-share moves the weight by the logarithm of their ratio (iterative scaling). No task holds all weights.
+Blocks of texts list their distinct words as 64-bit hashes; lists meet by share of the hashes, where all training counts
+are added, and go back to the blocks. In each round all blocks are gone through with the class weights as they are; what
+is expected of each row and class is added by range of rows, and each weight moves by the logarithm of what was seen over
+what is expected (iterative scaling). The class weights have MOST_ROWS rows for each feature at most and are broadcast.
 
 Bigrams meet by share of last word and class, so a frequent word's are dealt out by class. Weights of one last word and
 class touch no other's, so a share finds at once where the gradient of their penalised likelihood is zero: with n for
@@ -38,12 +38,14 @@ from pyspark.sql import functions as F
 from .common import _remove, chunks, fold, materialize, mix, text_buffer, word_hashes, words
 
 #: Bytes of text in a block, and in a share of the hashes at a mean.
-BLOCK, SHARE_BYTES = 6_000_000, 1 << 24
-#: Kinds of word endings that are counted, of which a class has one or more; most words of a share that may have a class
-#: of their own. With this many classes at most, a class is a byte.
+BLOCK, SHARE_BYTES = 4_000_000, 1 << 24
+#: Kinds of word endings that are counted, of which a class has one or more; most words and endings that are classes, so
+#: that a class is a byte.
 ENDINGS, MOST_OWN, MOST_SUFFIXES = 256, 90, 150
+#: Words with rows of their own: at most, and for each cube root of the training tokens.
+MOST_ROWS, ROOT_ROWS = 1 << 16, 128
 #: Features a token; tokens taken at once; tokens that the classes' own frequencies count for beside a feature's.
-ACTIVE, STEP, PRIOR = 3, 8192, 1.0
+ACTIVE, STEP, PRIOR = 2, 8192, 1.0
 #: Parts of a unit in which logarithms of probabilities inside a class are told; bits of a name of last word and class.
 PARTS, NAME = 4096, 48
 END = np.uint64(0x5DEECE66D1234567)
@@ -127,8 +129,10 @@ def list_blocks(df: DataFrame, id_col: str, text_col: str, held: int, folds: int
     return rows.mapInArrow(run, "block string, share int, ids array<long>, held array<boolean>, a binary, b binary, c binary")
 
 
-def count_words(lists: DataFrame) -> DataFrame:
-    """For each (block, share), all training counts of its words, in order; and a row for the share's totals, block null."""
+def count_words(lists: DataFrame, shares: int) -> DataFrame:
+    """For each (block, share), all training counts of its words, in order; and a row for the share's totals, block null,
+    with its most frequent words: four times as many as a share has on average of all that can have rows."""
+    most = MOST_OWN + 4 * MOST_ROWS // shares
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("block")
@@ -141,7 +145,7 @@ def count_words(lists: DataFrame) -> DataFrame:
         body = known & (names != END)
         sums = np.concatenate([np.bincount(bucket[body], total[body], ENDINGS), np.bincount(bucket[body], minlength=ENDINGS)]).astype(np.int64)
         top = np.flatnonzero(body)
-        top = top[np.lexsort((names[top], -total[top]))][:MOST_OWN]
+        top = top[np.lexsort((names[top], -total[top]))][:most]
         end = total[names == END].sum()
         told = np.concatenate([[end], sums, total[top], bucket[top], names[top].view(np.int64)]).astype(np.int64)
         ends = np.cumsum([len(x) for x in h])[:-1]
@@ -162,6 +166,7 @@ class Vocabulary:
     suffixes: int
     own: np.ndarray  # hashes, ascending
     own_class: np.ndarray
+    frequent: np.ndarray  # hashes of the words with rows, ascending
     class_tokens: np.ndarray
     class_words: np.ndarray
 
@@ -181,6 +186,18 @@ class Vocabulary:
             out = np.where(self.own[k] == names, self.own_class[k], out)
         return np.where(names == END, 0, out)
 
+    @property
+    def rows(self) -> int:
+        """Rows of a feature: of frequent words, of endings, and of the start of a text."""
+        return len(self.frequent) + self.suffixes + 1
+
+    def row(self, names: np.ndarray, ending: np.ndarray) -> np.ndarray:
+        out = ending.astype(np.int64) * self.suffixes // ENDINGS + len(self.frequent)
+        if len(self.frequent):
+            k = np.minimum(np.searchsorted(self.frequent, names), len(self.frequent) - 1)
+            out = np.where(self.frequent[k] == names, k, out)
+        return out
+
     def inside(self, counts: np.ndarray, cls: np.ndarray) -> np.ndarray:
         """The add-half estimate of a word in its class."""
         return np.where(cls < self.shared, 1.0, (counts + 0.5) / (self.class_tokens[cls] + 0.5 * (self.class_words[cls] + 1)))
@@ -197,7 +214,9 @@ def vocabulary(told: list[bytes]) -> Vocabulary:
         top += [(-int(c), int(h), int(b)) for c, b, h in rest.T]
     n, v = int(tokens.sum()) + ends, int(words_of.sum()) + (ends > 0)
     suffixes = min(MOST_SUFFIXES, max(8, round(v**0.25)))
-    top = sorted(top)[: min(MOST_OWN, suffixes * 3 // 5)]
+    top = sorted(top)
+    frequent = np.sort(np.array([h for _, h, _ in top[: min(MOST_ROWS, round(ROOT_ROWS * n ** (1 / 3)))]], np.int64).view(np.uint64))
+    top = top[: min(MOST_OWN, suffixes * 3 // 5)]
     class_tokens, class_words = np.zeros(1 + len(top) + suffixes), np.zeros(1 + len(top) + suffixes)
     class_tokens[0] = ends
     for i, (c, _, b) in enumerate(top):
@@ -209,15 +228,20 @@ def vocabulary(told: list[bytes]) -> Vocabulary:
     np.add.at(class_words, of, words_of)
     own = np.array([h for _, h, _ in top], np.int64).view(np.uint64)
     order = np.argsort(own)
-    return Vocabulary(n, v, suffixes, own[order], (order + 1).astype(np.int64), class_tokens, class_words)
+    return Vocabulary(n, v, suffixes, own[order], (order + 1).astype(np.int64), frequent, class_tokens, class_words)
 
 
-def contexts(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The features of each token as 64-bit hashes: (tokens, ACTIVE)."""
-    at = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    back = [np.where(at >= k, np.concatenate([np.full(min(k, len(h)), _START), h[: max(0, len(h) - k)]]), _START) for k in (1, 2, 3)]
-    with np.errstate(over="ignore"):
-        return np.stack([mix(x * s + s) for x, s in zip(back, _SEED)], 1)
+def contexts(sizes: np.ndarray, places: np.ndarray, names: np.ndarray, ending: np.ndarray, v: Vocabulary) -> np.ndarray:
+    """The rows of each token's features: (tokens, ACTIVE)."""
+    row = np.append(v.row(names, ending), v.rows - 1)
+    at = np.arange(len(places)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out = np.empty((len(places), ACTIVE), np.int32)
+    for k in range(ACTIVE):
+        back = np.full(len(places), len(names))
+        back[k + 1 :] = places[: max(0, len(places) - k - 1)]
+        back[at <= k] = len(names)
+        out[:, k] = row[back] + k * v.rows
+    return out
 
 
 def bigrams(sizes: np.ndarray, places: np.ndarray, names: np.ndarray, cls: np.ndarray, v: Vocabulary, held: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -241,29 +265,33 @@ def bigrams(sizes: np.ndarray, places: np.ndarray, names: np.ndarray, cls: np.nd
     return name[order], word[order], seen[order], use, back[at]
 
 
-def spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """The places first, first + 1, ... of each of the runs of n."""
-    return np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-
-
-def log_softmax(bias: np.ndarray, token: np.ndarray, cls: np.ndarray, w: np.ndarray, tokens: int) -> np.ndarray:
-    """token, cls and w list the weights that meet at the tokens."""
-    kinds = len(bias)
-    z = np.bincount(token * kinds + cls, w, tokens * kinds).reshape(tokens, kinds) + bias
-    z -= z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
-
+def class_bias(v: Vocabulary) -> np.ndarray:
+    return np.log((v.class_tokens + 0.5) / (v.class_tokens + 0.5).sum()).astype(np.float32)
 
-def steps(bias: np.ndarray, at: np.ndarray, first: np.ndarray, n: np.ndarray, cls: np.ndarray, w: np.ndarray) -> Iterator[tuple]:
-    """Tokens by STEP: where they begin, log probabilities, and the tokens and places of the weights that meet.
 
-    at: (tokens, ACTIVE) places of the features; first and n: where a feature's weights lie."""
+def chances(at: np.ndarray, bias: np.ndarray, weights: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Tokens by STEP: where they begin, and the classes' probabilities. at: (tokens, ACTIVE) rows."""
     for a in range(0, len(at), STEP):
-        f = at[a : a + STEP].ravel()
-        m = len(f) // ACTIVE
-        e = spread(first[f], n[f])
-        token = np.repeat(np.repeat(np.arange(m), ACTIVE), n[f])
-        yield a, log_softmax(bias, token, cls[e], w[e], m), token, e
+        f = at[a : a + STEP]
+        z = weights[f[:, 0]] + bias
+        for k in range(1, ACTIVE):
+            z += weights[f[:, k]]
+        np.exp(z, out=z)  # a row's weights are at most what makes a class certain, so this stays in range
+        z /= z.sum(1, keepdims=True)
+        yield a, z
+
+
+def expected(at: np.ndarray, bias: np.ndarray, weights: np.ndarray, out: np.ndarray) -> None:
+    """Adds to out how often each row and class are expected together."""
+    at = at[np.argsort(at[:, 0], kind="stable")]
+    for a, p in chances(at, bias, weights):
+        for k in range(ACTIVE):
+            here = at[a : a + STEP, k]
+            if k:
+                order = np.argsort(here, kind="stable")
+                here, p = here[order], p[order]
+            first = np.flatnonzero(np.append(True, here[1:] != here[:-1]))
+            out[here[first]] += np.add.reduceat(p, first)
 
 
 def _read(b: pa.RecordBatch) -> Iterator[tuple]:
@@ -280,80 +308,62 @@ def _read(b: pa.RecordBatch) -> Iterator[tuple]:
         )
 
 
-def feature_lists(blocks: DataFrame, v: Vocabulary, shares: int) -> DataFrame:
-    """For each block and share: the block's features, how many classes each was seen with in training, these, and counts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, (_, held, sizes, places, names, buckets, _) in zip(batch.column(0).to_pylist(), _read(batch)):
-                feats, at = np.unique(contexts(names[places], sizes), return_inverse=True)
-                use = np.repeat(~held, sizes)
-                cls = v.classes(names, buckets)[places][use]
-                pairs, seen = np.unique((at.reshape(-1, ACTIVE)[use] * v.kinds + cls[:, None]).ravel(), return_counts=True)
-                share = ((feats >> np.uint64(32)) * np.uint64(shares)) >> np.uint64(32)
-                cuts = np.searchsorted(share, np.arange(shares + 1))
-                n = np.bincount(pairs // v.kinds, minlength=len(feats)).astype(np.uint8)
-                ends = np.searchsorted(pairs, cuts * v.kinds)
-                for k, (a, z, i, j) in enumerate(zip(cuts, cuts[1:], ends, ends[1:])):
-                    if z > a:
-                        cols = [key], [k], [_pack(feats[a:z])], [_pack(n[a:z])], [_pack((pairs[i:j] % v.kinds).astype(np.uint8))], [_pack(seen[i:j].astype(np.uint32))]
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), *[pa.binary()] * 4))], ["block", "share", "f", "n", "c", "seen"])
-
-    return blocks.mapInArrow(run, "block string, share int, f binary, n binary, c binary, seen binary")
-
-
-#: Features are told as places among the share's, in order, which is the order in their block as well.
-_ROWS = "block string, share int, f binary, n binary, c binary, w binary"
-
-
-def _places(at: np.ndarray) -> bytes:
-    return _pack(np.diff(at, prepend=0).astype(np.uint32))
+def _rounded(x: np.ndarray) -> np.ndarray:
+    """x in parts of a unit, which pack well."""
+    return (np.round(x * 128) / 128).astype(np.float16)
 
 
-def start_weights(lists: DataFrame, bias: np.ndarray) -> DataFrame:
-    """For each block and share, all weights of the block's features: at first an equal part of what each would say alone."""
+def class_sums(blocks: DataFrame, v: Vocabulary, shares: int, weights: np.ndarray | None = None) -> np.ndarray:
+    """How often each row and class (rows, kinds) are seen together in training, or, with weights, are expected.
 
-    kinds = len(bias)
+    Tasks add up their blocks and send the rows they have met by range; ranges are added, and come to the driver as a table of
+    ACTIVE * (MOST_ROWS + MOST_SUFFIXES + 1) rows and 241 classes at most."""
+    context, rows, wide, bias = blocks.sparkSession.sparkContext, ACTIVE * v.rows, -(-ACTIVE * v.rows // shares), class_bias(v)
+    sent = context.broadcast(weights.astype(np.float16)) if weights is not None else None
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("block")
-        f = [_unpack(x, np.uint64) for x in pdf["f"]]
-        feats, at = np.unique(np.concatenate(f), return_inverse=True)
-        n = np.concatenate([_unpack(x, np.uint8) for x in pdf["n"]])
-        c = np.concatenate([_unpack(x, np.uint8) for x in pdf["c"]])
-        pairs, where = np.unique(np.repeat(at, n) * kinds + c, return_inverse=True)
-        seen = np.bincount(where, np.concatenate([_unpack(x, np.uint32) for x in pdf["seen"]]), len(pairs))
-        mine, cls = pairs // kinds, pairs % kinds
-        total, p = np.bincount(mine, seen, len(feats)), np.exp(bias.astype(np.float64))
-        w = (np.log((seen + PRIOR * p[cls]) / ((total[mine] + PRIOR) * p[cls])) / ACTIVE).astype(np.float16)
-        num = np.bincount(mine, minlength=len(feats))
-        first = np.cumsum(num) - num
-        rows = []
-        for b, s, x in zip(pdf["block"], pdf["share"], np.split(at, np.cumsum([len(x) for x in f])[:-1])):
-            e = spread(first[x], num[x])
-            rows.append((b, s, _places(x), _pack(num[x].astype(np.uint8)), _pack(cls[e].astype(np.uint8)), _pack(w[e])))
-        return pd.DataFrame(rows, columns=["block", "share", "f", "n", "c", "w"])
-
-    return lists.groupBy("share").applyInPandas(run, _ROWS)
-
-
-def moved_weights(told: DataFrame, pace: float) -> DataFrame:
-    """The weights after a round: each moves by the logarithm of seen over expected, of all blocks, one added to both."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("block")
-        read = lambda col, kind: [_unpack(x, kind) for x in pdf[col]]
-        at = np.concatenate([np.cumsum(x, dtype=np.int64) for x in read("f", np.uint32)])
-        c = read("c", np.uint8)
-        pairs, first, where = np.unique(np.repeat(at, np.concatenate(read("n", np.uint8))) * (ENDINGS * 2) + np.concatenate(c), return_index=True, return_inverse=True)
-        seen = np.bincount(where, np.concatenate(read("seen", np.uint32)), len(pairs))
-        hoped = np.bincount(where, np.concatenate(read("hoped", np.float16)).astype(np.float64) ** 2, len(pairs))
-        w = (np.concatenate(read("w", np.float16))[first] + pace * np.log((seen + 1) / (hoped + 1))).astype(np.float16)
-        out = pdf[["block", "share", "f", "n", "c"]].copy()
-        out["w"] = [_pack(x) for x in np.split(w[where], np.cumsum([len(x) for x in c])[:-1])]
-        return out
-
-    return told.groupBy("share").applyInPandas(run, _ROWS)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros((rows, v.kinds), np.float32)
+        table = sent.value.astype(np.float32) if sent is not None else None
+        for batch in batches:
+            for _, held, sizes, places, names, ending, _ in _read(batch):
+                use = np.repeat(~held, sizes)
+                at = contexts(sizes, places, names, ending, v)[use]
+                if table is not None:
+                    expected(at, bias, table, out)
+                    continue
+                cls = v.classes(names, ending)[places][use]
+                for k in range(ACTIVE):
+                    pairs, n = np.unique(at[:, k] * np.int64(v.kinds) + cls, return_counts=True)
+                    out.ravel()[pairs] += n
+        if table is not None:
+            out[table == 0] = 0  # no weight is there to move
+        met = np.flatnonzero(out.any(1))
+        cuts = np.searchsorted(met, np.arange(shares + 1) * wide)
+        for k, (a, z) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())):
+            if z > a:
+                cols = [TaskContext.get().partitionId()], [k], [_pack(met[a:z].astype(np.int32))], [_pack(_rounded(np.sqrt(out[met[a:z]])))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], ["task", "share", "rows", "sums"])
+
+    def total(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("task")
+        first = int(pdf["share"].iloc[0]) * wide
+        out = np.zeros((wide, v.kinds))
+        for at, x in zip(pdf["rows"], pdf["sums"]):
+            out[_unpack(at, np.int32) - first] += _unpack(x, np.float16).reshape(-1, v.kinds).astype(np.float64) ** 2
+        return pd.DataFrame({"first": [first], "sums": [_pack(_rounded(np.sqrt(out)))]})
+
+    # Tasks read the blocks' file ranges, which are the same each time, so sums are added in the same order.
+    slim = blocks.withColumns({"ids": F.lit(None).cast("array<bigint>"), "counts": F.lit(None).cast("binary")})
+    made = slim.mapInArrow(add, "task int, share int, rows binary, sums binary").groupBy("share").applyInPandas(total, "first int, sums binary")
+    table = _keep(made, "sums")
+    told = table.collect()
+    _forget(table)
+    out = np.zeros((wide * shares, v.kinds))
+    for r in told:
+        out[r["first"] : r["first"] + wide] = _unpack(r["sums"], np.float16).reshape(-1, v.kinds).astype(np.float64) ** 2
+    if sent is not None:
+        sent.unpersist()
+    return out[:rows]
 
 
 def word_lists(blocks: DataFrame, v: Vocabulary, shares: int) -> DataFrame:
@@ -409,31 +419,23 @@ def word_weights(lists: DataFrame, v: Vocabulary) -> DataFrame:
     return lists.groupBy("share").applyInPandas(run, "block string, share int, w binary")
 
 
-def _with_weights(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """Blocks with the rows of their weights, from what join_weights gives."""
-    rows, inside = [], []
+def join_words(blocks: DataFrame, inside: DataFrame) -> DataFrame:
+    """Each block after the rows of its bigrams, by share."""
+    both = inside.withColumn("kind", F.lit(0)).unionByName(blocks.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    return both.repartition("block").sortWithinPartitions("block", "kind", "share")
+
+
+def _with_words(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Blocks with what is told of their bigrams, from what join_words gives."""
+    inside = []
     for b in batches:
         for r in range(b.num_rows):
             one = b.slice(r, 1)
-            kind = one.column("kind")[0].as_py()
-            if kind == 0:
-                rows.append({k: one.column(k)[0].as_py() for k in ("share", "f", "n", "c", "w")})
-                continue
-            if kind == 1:
+            if one.column("kind")[0].as_py() == 0:
                 inside.append(_numbers(one.column("w")[0].as_py(), 2).astype(np.uint16))
-                continue
-            key, block = one.column("block")[0].as_py(), next(_read(one))
-            cat = lambda k, kind: np.concatenate([_unpack(x[k], kind) for x in rows])  # noqa: B023, E731
-            n, cls, w = cat("n", np.uint8).astype(np.int64), cat("c", np.uint8), cat("w", np.float16).astype(np.float32)
-            at = np.unique(contexts(block[4][block[3]], block[2]), return_inverse=True)[1].reshape(-1, ACTIVE)
-            yield key, block, rows, at, np.cumsum(n) - n, n, cls, w, inside
-            rows, inside = [], []
-
-
-def join_weights(blocks: DataFrame, rows: DataFrame) -> DataFrame:
-    """Each block after the rows of its weights, by share."""
-    both = blocks.withColumn("kind", F.lit(2)).unionByName(rows.withColumn("kind", F.lit(0)) if "kind" not in rows.columns else rows, allowMissingColumns=True)
-    return both.repartition("block").sortWithinPartitions("block", "kind", "share")
+            else:
+                yield next(_read(one)), inside
+                inside = []
 
 
 def join_counts(lists: DataFrame, counted: DataFrame) -> DataFrame:
@@ -478,53 +480,34 @@ def _forget(*tables: DataFrame) -> None:
             _remove(df.sparkSession, path)
 
 
-def class_bias(v: Vocabulary) -> np.ndarray:
-    return np.log((v.class_tokens + 0.5) / (v.class_tokens + 0.5).sum())
-
-
-def train(blocks: DataFrame, v: Vocabulary, shares: int, rounds: int = 2, rate: float = 0.5) -> DataFrame:
-    """Rows of the blocks' weights. Each round goes through all blocks."""
-    bias = class_bias(v)
-    rows = _keep(start_weights(feature_lists(blocks, v, shares), bias), "weights")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, (_, held, sizes, places, names, buckets, _), parts, at, first, n, cls, w, _ in _with_weights(batches):
-            use = np.repeat(~held, sizes)
-            own, at = v.classes(names, buckets)[places][use], at[use]
-            seen, hoped = np.zeros(len(w), np.uint32), np.zeros(len(w), np.float32)
-            for a, z, token, e in steps(bias, at, first, n, cls, w):
-                np.add.at(hoped, e, np.exp(z[token, cls[e]]).astype(np.float32))
-                np.add.at(seen, e[cls[e] == own[a : a + STEP][token]], np.uint32(1))
-            i = 0
-            for r in parts:
-                j = i + len(_unpack(r["c"], np.uint8))
-                cols = [key], [r["share"]], [r["f"]], [r["n"]], [r["c"]], [r["w"]], [_pack(seen[i:j])], [_pack(np.sqrt(hoped[i:j]).astype(np.float16))]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int32(), *[pa.binary()] * 6))], ["block", "share", "f", "n", "c", "w", "seen", "hoped"])
-                i = j
-
+def train(blocks: DataFrame, v: Vocabulary, shares: int, rounds: int = 1, rate: float = 0.5) -> np.ndarray:
+    """The class weights. Each round goes through all blocks."""
+    bias = class_bias(v).astype(np.float64)
+    seen = class_sums(blocks, v, shares)
+    known, p = seen > 0, np.exp(bias)
+    # At first an equal part of what each feature would say alone.
+    weights = np.where(known, np.log((seen + PRIOR * p) / ((seen.sum(1, keepdims=True) + PRIOR) * p)) / ACTIVE, 0.0)
     for k in range(rounds):
-        told = _keep(join_weights(blocks.withColumns({"ids": F.lit(None).cast("array<bigint>"), "counts": F.lit(None).cast("binary")}), rows).mapInArrow(run, f"{_ROWS}, seen binary, hoped binary"), "told")
-        _forget(rows)
-        rows = _keep(moved_weights(told, rate / (1 + k)), "weights")
-        _forget(told)
-    return rows
+        hoped = class_sums(blocks, v, shares, weights)
+        weights = np.where(known, weights + rate / (1 + k) * np.log((seen + 1) / (hoped + 1)), 0.0)
+    return weights.astype(np.float16)
 
 
-def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held: int = 1, folds: int = 5, rounds: int = 2) -> DataFrame:
+def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held: int = 1, folds: int = 5, rounds: int = 1) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     size = df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     shares = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // SHARE_BYTES)
     lists = _keep(list_blocks(df, id_col, text_col, held, folds, shares), "lists")
-    counted = _keep(count_words(lists), "counts")
-    v = vocabulary([bytes(r["d"]) for r in counted.where("block IS NULL").select("d").collect()])  # one short row a share
+    counted = _keep(count_words(lists, shares), "counts")
+    v = vocabulary([bytes(r["d"]) for r in counted.where("block IS NULL").select("d").collect()])  # a row a share, of a bounded size together
     blocks = _keep(join_counts(lists, counted), "blocks")
     _forget(lists, counted)
+    weights, bias = df.sparkSession.sparkContext.broadcast(train(blocks, v, shares, rounds)), class_bias(v)
     inside = _keep(word_weights(word_lists(blocks, v, shares), v), "words")
-    rows, bias = train(blocks, v, shares, rounds), class_bias(v)
-    rows = rows.withColumn("kind", F.lit(0)).unionByName(inside.withColumn("kind", F.lit(1)), allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, (ids, gone, sizes, places, names, buckets, counts), _, at, first, n, kinds, w, told in _with_weights(batches):
+        table = weights.value.astype(np.float32)
+        for (ids, gone, sizes, places, names, buckets, counts), told in _with_words(batches):
             cls = v.classes(names, buckets)
             model = np.zeros(len(places))
             _, _, _, use, pair = bigrams(sizes, places, names, cls, v, gone)
@@ -532,8 +515,8 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
                 model[use] = np.concatenate(told)[pair] / -PARTS
             base = np.log10((counts + 0.5) / (v.tokens + 0.5 * (v.distinct + 1)))[places]
             c = cls[places]
-            for a, z, _, _ in steps(bias, at, first, n, kinds, w):
-                model[a : a + STEP] += z[np.arange(len(z)), c[a : a + STEP]] / np.log(10)
+            for a, p in chances(contexts(sizes, places, names, buckets, v), bias, table):
+                model[a : a + STEP] += np.log10(np.maximum(p[np.arange(len(p)), c[a : a + STEP]], 1e-30))
             at = np.cumsum(sizes) - sizes
             total = lambda x: pa.array(np.add.reduceat(x, at))  # noqa: B023, E731
             yield pa.RecordBatch.from_arrays(
@@ -549,4 +532,4 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
                 [id_col, "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
-    return join_weights(blocks, rows).mapInArrow(run, f"`{id_col}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return join_words(blocks, inside).mapInArrow(run, f"`{id_col}` long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -194,7 +194,7 @@ def test_maxent(spark):
     assert maxent.score_texts(documents(spark, [])).count() == 0
 
 
-def plain_maxent(texts, rounds=2):
+def plain_maxent(texts, rounds):
     """The model's log10 probability of each text, one token at a time, in dictionaries."""
     tokens = [[*WORD.findall(lower(t or "")), None] for t in texts]
     train = [zlib.crc32(str(i).encode()) % 5 != 1 for i in range(len(texts))]
@@ -207,19 +207,21 @@ def plain_maxent(texts, rounds=2):
     v = round((len(count)) ** 0.25)
     suffixes = max(8, v)
     hash_of = dict(zip(words, h[ends].view(np.int64).tolist()))
-    top = sorted((w for w in count if w is not None), key=lambda w: (-count[w], hash_of[w] % (1 << 64)))[: suffixes * 3 // 5]
+    top = sorted((w for w in count if w is not None), key=lambda w: (-count[w], hash_of[w]))[: suffixes * 3 // 5]
     cls = lambda w: "end" if w is None else w if w in top else ending_of[w] * suffixes // 256
     kinds = ["end", *top, *range(suffixes)]
     size = {c: sum(n for w, n in count.items() if cls(w) == c) for c in kinds}
     many = {c: sum(cls(w) == c for w in count) for c in kinds}
     p = {c: (size[c] + 0.5) / (sum(size.values()) + 0.5 * len(kinds)) for c in kinds}
-    back = lambda ws, i: [(k, ws[i - k] if i >= k else "start of text") for k in (1, 2, 3)]
+    ranked = sorted((w for w in count if w is not None), key=lambda w: (-count[w], hash_of[w]))[: round(maxent.ROOT_ROWS * count.total() ** (1 / 3))]
+    row = lambda w: w if w in ranked else ending_of[w] * suffixes // 256
+    back = lambda ws, i: [(k, row(ws[i - k]) if i >= k else "start of text") for k in (1, 2)]
     seen = {}
     for ws, use in zip(tokens, train):
         for i, w in enumerate(ws if use else []):
             for f in back(ws, i):
                 seen.setdefault(f, Counter())[cls(w)] += 1
-    weight = {f: {c: math.log((n + p[c]) / ((x.total() + 1) * p[c])) / 3 for c, n in x.items()} for f, x in seen.items()}
+    weight = {f: {c: math.log((n + p[c]) / ((x.total() + 1) * p[c])) / 2 for c, n in x.items()} for f, x in seen.items()}
 
     def chances(ws, i):
         z = {c: math.log(p[c]) + sum(weight.get(f, {}).get(c, 0) for f in back(ws, i)) for c in kinds}
@@ -257,15 +259,16 @@ def plain_maxent(texts, rounds=2):
 def test_maxent_against_a_plain_model(spark, monkeypatch):
     monkeypatch.setattr(maxent, "BLOCK", 2000)
     monkeypatch.setattr(maxent.list_blocks, "__defaults__", (2000,))
+    monkeypatch.setattr(maxent, "ROOT_ROWS", 8)
     r = random.Random(10)
     words = [f"w{i}{e}" for i in range(60) for e in ("ed", "ing", "s", "ou")]
     texts = ODD[:6] + ODD[7:] + [" ".join(r.choices(words, [1 / (i + 1) for i in range(len(words))], k=r.randint(1, 60))) for _ in range(150)]
     texts += texts[20:60]  # copies, some of them held out
-    want = plain_maxent(texts)
+    want = plain_maxent(texts, 2)
     df = documents(spark, texts).repartition(3).cache()
-    got = {x.doc_id: x.score for x in maxent.score_texts(df).collect()}
+    got = {x.doc_id: x.score for x in maxent.score_texts(df, rounds=2).collect()}
     assert [got[i] for i in range(len(texts))] == pytest.approx(want, rel=5e-3, abs=2e-2)
-    assert {x.doc_id: x.score for x in maxent.score_texts(df).collect()} == got
+    assert {x.doc_id: x.score for x in maxent.score_texts(df, rounds=2).collect()} == got
 
 
 def test_maxent_null_ids_repeats_and_long_texts(spark):
@@ -275,11 +278,16 @@ def test_maxent_null_ids_repeats_and_long_texts(spark):
     assert len({x.score for x in rows if x.doc_id == 3}) == 1 and all(x.score < 0 for x in rows)
 
 
-def test_maxent_features_grow():
-    """Distinct words before a token are distinct features, however many there are."""
-    words = np.arange(1, 200_001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    f = maxent.contexts(words, np.array([len(words)]))
-    assert len(np.unique(f[:, 0])) == len(words) and len(np.unique(f)) > 2.9 * len(words)
+def test_maxent_rows():
+    """Frequent words have rows of their own, rarer ones their ending's, the start of a text the last of a feature."""
+    v = maxent.vocabulary([told([(r % 256, 1 + 3000 // (r + 1)) for r in range(3000)])])
+    assert len(v.frequent) == min(3000, maxent.MOST_ROWS, round(maxent.ROOT_ROWS * v.tokens ** (1 / 3)))
+    names, ending = np.arange(3000, dtype=np.uint64), np.arange(3000) % 256
+    at = maxent.contexts(np.array([2, 3]), np.array([0, 1, 2, 2999, 0]), names, ending, v)
+    row = v.row(names, ending)
+    start, n = v.rows - 1, v.rows
+    assert at.tolist() == [[start, start + n], [row[0], start + n], [start, start + n], [row[2], start + n], [row[2999], row[2] + n]]
+    assert row.max() < start and len(set(row[:20].tolist())) == 20
 
 
 def told(counts):
@@ -288,7 +296,7 @@ def told(counts):
     for e, c in counts:
         tokens[e] += c
         words[e] += 1
-    top = sorted(((c, i, e) for i, (e, c) in enumerate(counts)), reverse=True)[: maxent.MOST_OWN]
+    top = sorted(((c, i, e) for i, (e, c) in enumerate(counts)), reverse=True)
     return np.concatenate([[3], tokens, words, *np.array([(c, e, i) for c, i, e in top], np.int64).T]).astype(np.int64).tobytes()
 
 
