@@ -293,9 +293,13 @@ def key_filter(keys: DataFrame) -> tuple[np.ndarray, int]:
 
 def verify(rows: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) that are linked. Sets of the classes in question are made again from the texts, which a filter of
-    fixed size chooses without moving them; each pair's second set is sent to its first, and compared there as it comes."""
+    bounded size chooses without moving them; of each pair, the set that has more partners is sent to the other and
+    compared there as it comes, so the sets of a leader's partners don't meet in its task."""
     pairs = materialize(pairs, "pairs")
-    keys = materialize(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "keys")
+    keys = materialize(pairs.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("partners")), "keys")
+    of = lambda c: keys.select(F.col("key").alias(c), F.col("partners").alias("n" + c))
+    few = F.col("na") <= F.col("nb")
+    pairs = materialize(pairs.join(of("a"), "a").join(of("b"), "b").select(F.when(few, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(few, F.col("b")).otherwise(F.col("a")).alias("b")), "pairs")
     chosen = rows.sparkSession.sparkContext.broadcast(key_filter(keys))  # FILTER bits at most
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
