@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import normalize_key
+from ..sources.tables import materialize
 
 
 def keep_first(df: DataFrame, by: list[str], order: list[str], name: str = "name") -> DataFrame:
@@ -63,6 +64,7 @@ def keep_recent(df: DataFrame, by: list[str], order: list[str], size: int = 1000
 
 def deduplicate(df: DataFrame, by: list[str], order: list[str], size: int = 1000, name: str = "name") -> DataFrame:
     """The same rows as keep_recent, by keep_first if no group has more than `size` keys, since none is then evicted."""
+    df = materialize(df, "keyed")  # counted and read again: what made it runs once
     keys = df.groupBy(*by).agg(F.count_distinct(normalize_key(name)).alias("n")).agg(F.max("n")).first()[0] or 0
     return keep_first(df, by, order, name) if keys <= size else keep_recent(df, by, order, size, name)
 

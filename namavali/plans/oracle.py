@@ -286,9 +286,11 @@ v AS (SELECT page_id, x0, lead(x0) OVER (PARTITION BY page_id ORDER BY x0) AS x1
 cells AS (SELECT f.page_id, v.x0, f.y0, v.x1, f.y1 FROM f JOIN v USING (page_id) WHERE v.x1 - v.x0 > 150 AND f.y1 - f.y0 > 80)
 SELECT page_id, x0::DOUBLE AS x0, y0::DOUBLE AS y0, x1::DOUBLE AS x1, y1::DOUBLE AS y1 FROM boxes UNION ALL
 SELECT page_id, x0::DOUBLE, y0::DOUBLE, x1::DOUBLE, y1::DOUBLE FROM cells WHERE page_id NOT IN (SELECT page_id FROM boxes)""",
-    "report_rejects": f"""{_WITH}, e AS (SELECT *, row_number() OVER (ORDER BY pdf_file, page_num, block_no, name, reason) AS item FROM rejected),
-x AS (SELECT item, ['--- Rejected #' || item || ' ---', 'File: ' || pdf_file, 'Page: ' || page_num, 'Name: ' || name, 'Reason: ' || reason] AS l FROM e)
-SELECT 2 AS section, item, i::INT AS line_no, l[i + 1] AS line FROM x, unnest(range(len(l))) AS u(i)""",
+    "report_rejects": f"""{_WITH}, e AS (SELECT *, row_number() OVER (ORDER BY pdf_file, page_num, block_no) AS item FROM failed),
+r AS (SELECT *, row_number() OVER (ORDER BY pdf_file, page_num, block_no, name, reason) AS item FROM rejected),
+x AS (SELECT 1 AS section, item, ['--- Error #' || item || ' ---', 'File: ' || pdf_file, 'Page: ' || page_num, 'Reason: ' || reason, 'Raw Text:', raw_text] AS l FROM e
+  UNION ALL SELECT 2, item, ['--- Rejected #' || item || ' ---', 'File: ' || pdf_file, 'Page: ' || page_num, 'Name: ' || name, 'Reason: ' || reason] FROM r)
+SELECT section, item, i::INT AS line_no, l[i + 1] AS line FROM x, unnest(range(len(l))) AS u(i)""",
     "report_errors": f"""{_WITH}, b AS (SELECT pdf_file, page_num, block_no, raw_text, reason FROM failed
   UNION ALL SELECT pdf_file, page_num, 0, '', 'No text could be read from the page' FROM roll WHERE coalesce({strip('text')} = '', true)),
 e AS (SELECT *, row_number() OVER (ORDER BY pdf_file, page_num, block_no) AS item FROM b),

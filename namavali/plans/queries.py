@@ -466,8 +466,8 @@ def report_cross_file(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def report_rejects(s: SparkSession, d: str) -> DataFrame:
-    e = extract.block_errors(_found(s, d)).limit(0)
-    return reports.error_report(e, rejected_names(s, d)).where("section = 2")
+    """Errors of blocks, then rejected names."""
+    return reports.error_report(block_errors(s, d), rejected_names(s, d))
 
 
 @query

@@ -76,7 +76,9 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pdf_file, page_num, text."""
     cards = _sql(spark, cards_sql(True), people=people(spark, sf_dir))
-    made = cards.groupBy("pdf_file", "page_num").agg(F.array_sort(F.collect_list(F.struct("id", "card"))).alias("cards"))
+    # Dealt out by number, which is not merged again: a page is few bytes but much work.
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    made = cards.repartition(n, "pdf_file", "page_num").groupBy("pdf_file", "page_num").agg(F.array_sort(F.collect_list(F.struct("id", "card"))).alias("cards"))
     text = F.concat_ws("\n", F.lit(HEADER), F.array_join("cards.card", "\n"))
     return made.select("pdf_file", "page_num", text.alias("text")).unionByName(_sql(spark, BLANK_SQL, nation=_tables(spark, sf_dir)["nation"]))
 

@@ -46,6 +46,7 @@ def with_sequence(df: DataFrame, order: list[str], name: str = "seq") -> DataFra
     from pyspark.sql import Window
 
     n = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    df = materialize(df, "unranged")  # ranges are chosen by a sample, which would run the lineage once more
     dealt = materialize(df.repartitionByRange(n, *order).withColumn("__part", F.spark_partition_id()), "ranges")
     counts = dealt.groupBy("__part").count()
     before = F.sum("count").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
