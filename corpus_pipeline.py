@@ -3,9 +3,8 @@
 Each stage takes what the one before has kept, written as Parquet and read again. All but the last return the columns
 of documents; the last returns the pieces of the packed sequences.
 
-Defined results: null and empty texts fail the rules and go; rows repeated with id and text stay once; of equal texts and of
-near copies one row stays, so a null id stays only with a text that no row with an id has; an empty table gives an empty
-table. Columns beyond those of documents pass through all stages but the last, whatever their names.
+Defined results: null and empty texts fail the rules and go; rows repeated with id and text stay once; of equal texts a row
+with an id stays before one without, and a near copy without an id is not dropped; an empty table gives an empty table.
 """
 
 from __future__ import annotations
