@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.phonetic import latin
-from ..sources.tables import materialize
+from ..sources.tables import materialize, with_sequence
 
 
 def name_counts(df: DataFrame, order: str = "seq", name: str = "name") -> DataFrame:
@@ -105,9 +105,8 @@ def phonetic_clusters(names: DataFrame) -> DataFrame:
     with_len = names.join(found, "name").withColumn("first_seq", F.col("first_seq").cast("long"))
     members = with_len.select("component", "name", "latin", "cnt", "first_seq", "latin_len").groupBy("component").applyInPandas(run, schema)
     order = names.groupBy("latin_len").agg(F.min("first_seq").alias("len_first"))
-    members = members.join(order, "latin_len")
-    # Clusters are few, and their order is a report's: one ranking over (first of length, seed).
-    seeds = members.select("len_first", "seed").distinct().withColumn("cluster_id", F.row_number().over(Window.orderBy("len_first", "seed")))
+    members = materialize(members.join(order, "latin_len"), "members")
+    seeds = with_sequence(members.select("len_first", "seed").distinct(), ["len_first", "seed"], "cluster_id").withColumn("cluster_id", F.col("cluster_id").cast("int"))
     members = members.join(seeds, ["len_first", "seed"])
     pos = F.row_number().over(Window.partitionBy("cluster_id").orderBy(F.desc("cnt"), "first_seq"))
     return members.select("cluster_id", pos.alias("pos"), "name", "latin", "cnt")

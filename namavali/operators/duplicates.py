@@ -9,10 +9,15 @@ from ..functions.names import normalize_key
 
 
 def groups(df: DataFrame, order: str = "seq", name: str = "name") -> DataFrame:
-    """Per key: normalized, cnt, first_seq, occurrences (array of (seq, name) in order)."""
-    one = F.struct(F.col(order).alias("seq"), F.col(name).alias("name"))
-    g = df.groupBy(normalize_key(name).alias("normalized"))
-    return g.agg(F.count("*").alias("cnt"), F.min(order).alias("first_seq"), F.array_sort(F.collect_list(one)).alias("occurrences"))
+    """Per key: normalized, cnt, first_seq."""
+    return df.groupBy(normalize_key(name).alias("normalized")).agg(F.count("*").alias("cnt"), F.min(order).alias("first_seq"))
+
+
+def occurrences(df: DataFrame, of: DataFrame, order: str = "seq", name: str = "name") -> DataFrame:
+    """A row for each occurrence of the groups `of`: their columns, seq, name. A frequent key stays many rows, so the join
+    can be split where it is skewed."""
+    rows = df.select(normalize_key(name).alias("normalized"), F.col(order).alias("seq"), F.col(name).alias("name"))
+    return of.join(rows, "normalized")
 
 
 def duplicate_groups(df: DataFrame, order: str = "seq", name: str = "name") -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import materialize, with_sequence
 from .clusters import adjacent_distances
+from .duplicates import occurrences
 from .validate import Validated
 
 _S = "section int, item long, line_no int, line string"
@@ -17,16 +19,20 @@ def _rows(df: DataFrame, section: int, lines: Column) -> DataFrame:
 
 
 def _item(df: DataFrame, *order) -> DataFrame:
-    """Consecutive numbers in a report's order; what is numbered is a report's items, not the input."""
-    return df.withColumn("item", F.row_number().over(Window.orderBy(*order)))
+    """Consecutive numbers in a report's order; items grow with the input, so they are numbered by ranges."""
+    return with_sequence(df, list(order), "item")
 
 
 def _text(*parts) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
-def duplicates_report(groups: DataFrame, statistics: DataFrame) -> DataFrame:
-    """groups: duplicate_groups. Nothing is reported if there are none."""
+def duplicates_report(names: DataFrame, groups: DataFrame, statistics: DataFrame) -> DataFrame:
+    """names: seq, name. groups: their duplicate_groups. Nothing is reported if there are none.
+
+    An occurrence's line is its place among all occurrences less the place of its group's first one, so no group is ever
+    brought together.
+    """
     c = F.col
     head = statistics.where("duplicate_groups > 0").withColumn("item", F.lit(0))
     head = _rows(
@@ -42,10 +48,14 @@ def duplicates_report(groups: DataFrame, statistics: DataFrame) -> DataFrame:
             F.format_string("Duplicate rate: %.2f%%", c("total_duplicates") * 100.0 / c("total")),
         ),
     )
-    g = _item(groups, F.desc("cnt"), "first_seq")
-    told = F.transform("occurrences", lambda o: F.concat(F.lit("  Line "), o["seq"].cast("string"), F.lit(": "), o["name"]))
-    body = F.concat(F.array(_text("--- Group #", c("item"), " ---"), _text("Normalized form: ", c("normalized")), _text("Total occurrences: ", c("cnt")), F.lit("Variations found:")), told)
-    return head.unionByName(_rows(g, 2, body))
+    g = materialize(_item(groups, F.desc("cnt"), "first_seq"), "groups")
+    body = _rows(g, 2, F.array(_text("--- Group #", c("item"), " ---"), _text("Normalized form: ", c("normalized")), _text("Total occurrences: ", c("cnt")), F.lit("Variations found:")))
+    placed = with_sequence(occurrences(names, g), ["item", "seq"], "place")
+    first = placed.groupBy("item").agg(F.min("place").alias("first"))
+    told = placed.join(first, "item").select(
+        F.lit(2).alias("section"), "item", (c("place") - c("first") + 4).cast("int").alias("line_no"), _text("  Line ", c("seq"), ": ", c("name")).alias("line")
+    )
+    return head.unionByName(body).unionByName(told)
 
 
 def cross_file_report(names: DataFrame) -> DataFrame:

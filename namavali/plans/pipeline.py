@@ -43,7 +43,7 @@ def write(r: Run, path: str) -> None:
     sinks.write_lines(r.validated.valid, f"{path}/only_names", ["seq"], "name")
     at = ["section", "item", "line_no"]
     sinks.write_lines(reports.review_report(r.validated), f"{path}/only_names_errors", at)
-    sinks.write_lines(reports.duplicates_report(duplicates.duplicate_groups(r.first), duplicates.statistics(r.first)), f"{path}/only_names_duplicates_report", at)
+    sinks.write_lines(reports.duplicates_report(r.first, duplicates.duplicate_groups(r.first), duplicates.statistics(r.first)), f"{path}/only_names_duplicates_report", at)
     sinks.write_lines(reports.cross_file_report(r.sources.where("n_pdfs > 1")), f"{path}/only_names_cross_file_report", at)
     sinks.write_lines(reports.error_report(r.errors, r.rejected), f"{path}/errors_report", at)
     sinks.write_table(r.errors, f"{path}/errors")

@@ -13,7 +13,7 @@ from ..functions import names as N
 from ..functions.phonetic import phonetic_similarity, transliterate
 from ..functions.text import file_stem, strip, word_list
 from ..operators import clusters, dedup, duplicates, extract, reports, validate
-from ..sources.pages import read_names
+from ..sources.pages import FormFeedReader, open_files, read_names
 from ..sources.tables import shared_dir, with_sequence
 from . import synth
 from .pipeline import ORDER
@@ -314,19 +314,31 @@ def dedup_window_first(s: SparkSession, d: str) -> DataFrame:
     return dedup.keep_recent(_numbered(s, d), [], ["seq"], WINDOW).select("seq", "name")
 
 
-def _told(g: DataFrame) -> DataFrame:
-    said = F.array_join(F.transform("occurrences", lambda o: F.concat(o["seq"].cast("string"), F.lit(":"), o["name"])), ",")
-    return g.withColumn("occurrences", said)
+def _passed(s: SparkSession, d: str) -> DataFrame:
+    """First names that pass the window, numbered anew: what the duplicate report of a run is made from."""
+    return with_sequence(dedup_window_first(s, d).select(F.col("seq").alias("was"), "name"), ["was"]).select("seq", "name")
 
 
 @query
 def duplicate_groups_raw(s: SparkSession, d: str) -> DataFrame:
-    return _told(duplicates.groups(_numbered(s, d)))
+    n = _numbered(s, d)
+    return duplicates.occurrences(n, duplicates.groups(n))
 
 
 @query
 def duplicate_groups(s: SparkSession, d: str) -> DataFrame:
-    return _told(duplicates.duplicate_groups(_numbered(s, d)))
+    n = _numbered(s, d)
+    return duplicates.occurrences(n, duplicates.duplicate_groups(n))
+
+
+@query
+def duplicate_groups_windowed(s: SparkSession, d: str) -> DataFrame:
+    return duplicates.duplicate_groups(_passed(s, d))
+
+
+@query
+def duplicate_stats_windowed(s: SparkSession, d: str) -> DataFrame:
+    return duplicates.statistics(_passed(s, d))
 
 
 @query
@@ -371,7 +383,15 @@ def per_page_counts(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def file_status(s: SparkSession, d: str) -> DataFrame:
-    return per_page_counts(s, d).groupBy("pdf_file").agg(F.sum("n_names").alias("names_count")).withColumn("status", F.lit("completed"))
+    """Files of the roll opened by a reader; those of nations with an I are broken, and fail on their own."""
+    pages = _pages(s, d).groupBy("pdf_file").agg(F.map_from_entries(F.collect_list(F.struct("page_num", "text"))).alias("of"), F.max("page_num").alias("last"))
+    text = F.array_join(F.transform(F.sequence(F.lit(1), "last"), lambda k: F.coalesce(F.try_element_at("of", k), F.lit(""))), "\f")
+    broken = F.when(F.col("pdf_file").startswith("roll_I"), F.unhex(F.lit("FF"))).otherwise(F.lit(b""))
+    files = pages.select(F.concat(F.lit("/rolls/"), "pdf_file").alias("path"), "pdf_file", F.concat(broken, text.cast("binary")).alias("content"))
+    read, status = open_files(files, FormFeedReader())
+    names = extract.accepted(extract.extraction(extract.repair(read.select(*extract.KEYS, "text")))).groupBy("pdf_file").agg(F.count("*").alias("n"))
+    told = status.join(names, "pdf_file", "left").withColumn("reason", F.regexp_extract("error", "^[A-Za-z]+", 0))
+    return told.select("pdf_file", "status", F.coalesce("n", F.lit(0)).cast("long").alias("names_count"), "n_pages", "reason")
 
 
 # ---- validation ------------------------------------------------------------------------------------------------------
@@ -451,7 +471,7 @@ def card_boxes(s: SparkSession, d: str) -> DataFrame:
 @query
 def report_duplicates(s: SparkSession, d: str) -> DataFrame:
     n = _numbered(s, d)
-    return reports.duplicates_report(duplicates.duplicate_groups(n), duplicates.statistics(n))
+    return reports.duplicates_report(n, duplicates.duplicate_groups(n), duplicates.statistics(n))
 
 
 @query

@@ -17,6 +17,8 @@ GIVEN = (
 ).split()
 MIDDLE = "चंद्रकांत शंकर बाबू दत्तात्रय विठ्ठल पांडुरंग तुकाराम ज्ञानेश्वर मारुती बाळासाहेब आण्णा किसन लक्ष्मण".split()
 SURNAME = "पाटील जाधव चोपडे पिसाळ मोरे शिंदे पवार कदम भोसले माने साळुंखे यादव कांबळे शेख मुल्ला सूर्यवंशी गायकवाड".split()
+#: Consecutive customers of a nation's file: over 25 nations and 6 pages some 30 cards a page, whatever the scale.
+PER_FILE = 4500
 LABEL = ("नाव : ", "नाच : ", "नांव : ", "नाव: ", "नाब : ", "नाव ; ", "नाव  :", "नाव : - ")
 RELATION = ("पतीचे नाव: ", "वडिलांचे नाव : ", "आईचे नाव: ", "पत्नीचे नाव: ", "यडिलांचे नाव: ", "पत्तीचे नाव : ", "नाव; ")
 
@@ -31,8 +33,9 @@ def people_sql(spark: bool) -> str:
     given = _pick(GIVEN, f"(k * 13 + k % 7) % {len(GIVEN)} + 1", spark)
     middle = _pick(MIDDLE, f"(k * 7 + 3) % {len(MIDDLE)} + 1", spark)
     surname = _pick(SURNAME, f"(k * 11 + 5) % {len(SURNAME)} + 1", spark)
+    text = "STRING" if spark else "VARCHAR"
     return f"""
-SELECT k AS id, 'roll_' || n_name AS pdf_file, CAST(3 + k % 6 AS INT) AS page_num, given, middle, surname,
+SELECT k AS id, 'roll_' || n_name || '_' || CAST(CAST((k - k % {PER_FILE}) / {PER_FILE} AS BIGINT) AS {text}) AS pdf_file, CAST(3 + k % 6 AS INT) AS page_num, given, middle, surname,
   CASE WHEN k % 41 = 0 THEN 'अब' WHEN k % 37 = 0 THEN 'राम५ ' || surname WHEN k % 31 = 0 THEN 'John Smith ' || surname
     WHEN k % 29 = 0 THEN given || ' उर्फ ' || middle || ' ' || surname WHEN k % 23 = 0 THEN middle || 'च्या ' || surname
     WHEN k % 19 = 0 THEN given || 'ः, ' || surname WHEN k % 17 = 0 THEN given || '@' || surname
@@ -58,7 +61,7 @@ FROM {people}"""
 
 HEADER = "विधानसभा मतदारसंघ २८२"
 #: Pages without text: of every fifth nation one, null or empty.
-BLANK_SQL = "SELECT 'roll_' || n_name AS pdf_file, CAST(9 AS INT) AS page_num, CASE WHEN n_nationkey % 2 = 0 THEN '' END AS text FROM nation WHERE n_nationkey % 5 = 0"
+BLANK_SQL = "SELECT 'roll_' || n_name || '_0' AS pdf_file, CAST(9 AS INT) AS page_num, CASE WHEN n_nationkey % 2 = 0 THEN '' END AS text FROM nation WHERE n_nationkey % 5 = 0"
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

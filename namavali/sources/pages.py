@@ -1,7 +1,8 @@
 """Page text from a folder of PDF files, with a pluggable text layer and recognition; and lists of names.
 
-No PDF or recognition library is needed to import this. A reader is an object with `pages(content)`, giving the number
-of pages, and `text(content, page)`; a recogniser is a function of (content, page). Both are shipped to executors.
+No PDF or recognition library is needed to import this. A reader is an object with `texts(content, start, end)`, giving
+(page, text) of the pages there are between start and end, from 1, in one pass over the opened file; a recogniser is a
+function of (content, page). Both are shipped to executors.
 """
 
 from __future__ import annotations
@@ -16,33 +17,33 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Greate
 
 from ..functions.text import file_name, file_stem
 from ..operators.extract import needs_ocr
+from .tables import materialize
 
 PAGE_SCHEMA = "pdf_file string, page_num int, text string, text_source string"
 
 
 class TextReader(Protocol):
-    def pages(self, content: bytes) -> int: ...
-
-    def text(self, content: bytes, page: int) -> str | None: ...
+    def texts(self, content: bytes, start: int, end: int) -> Iterator[tuple[int, str | None]]: ...
 
 
 class PdfplumberReader:
-    """The text layer by pdfplumber, where that is installed."""
+    """The text layer by pdfplumber, where that is installed. A file is opened once for all its pages."""
 
-    def _open(self, content: bytes):
+    def texts(self, content: bytes, start: int, end: int) -> Iterator[tuple[int, str | None]]:
         import io
 
         import pdfplumber
 
-        return pdfplumber.open(io.BytesIO(content))
+        with pdfplumber.open(io.BytesIO(content)) as pdf:
+            for k in range(start, min(end, len(pdf.pages)) + 1):
+                yield k, pdf.pages[k - 1].extract_text()
+
 
-    def pages(self, content: bytes) -> int:
-        with self._open(content) as pdf:
-            return len(pdf.pages)
+class FormFeedReader:
+    """UTF-8 text whose pages are separated by form feeds; anything else is a broken file."""
 
-    def text(self, content: bytes, page: int) -> str | None:
-        with self._open(content) as pdf:
-            return pdf.pages[page - 1].extract_text()
+    def texts(self, content: bytes, start: int, end: int) -> Iterator[tuple[int, str | None]]:
+        yield from ((k, t) for k, t in enumerate(content.decode().split("\f"), 1) if start <= k <= end)
 
 
 def tesseract(content: bytes, page: int, languages: str = "mar+eng", resolution: int = 300) -> str:
@@ -63,20 +64,23 @@ def pdf_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, folder: str, reader: TextReader, start: int = 3, end: int = 32, ocr: Callable[[bytes, int], str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(pages, status) of the *.pdf files of a folder, see `open_files`."""
+    return open_files(pdf_files(spark, folder), reader, start, end, ocr)
+
+
+def open_files(files: DataFrame, reader: TextReader, start: int = 3, end: int = 32, ocr: Callable[[bytes, int], str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(pages, status): pages start to end of each file, and per file its status, number of pages read and error.
 
-    A file that cannot be read is `failed` and keeps no other from being read. The two kinds of page are separated by a
-    filter before recognition, since a user function inside a condition would be run for every row.
+    files: path, pdf_file, content. A file that cannot be read is `failed` and keeps no other from being read. What was
+    read is written at once, so that each file is opened once, for its pages and its status. Pages that are to be
+    recognised go to their file's content as one list a file; the content is not repeated for each page.
     """
-    files = pdf_files(spark, folder)
 
     def open_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, name, content in zip(*(b.column(k).to_pylist() for k in range(3))):
-                rows = []
                 try:
-                    last = min(end, reader.pages(content))
-                    rows = [(path, name, k, reader.text(content, k), None) for k in range(start, last + 1)]
+                    rows = [(path, name, k, text, None) for k, text in reader.texts(content, start, end)]
                     rows.append((path, name, None, None, None))
                 except Exception as e:  # of one file: told in its status
                     rows = [(path, name, None, None, f"{type(e).__name__}: {e}")]
@@ -84,35 +88,40 @@ def read_pages(spark: SparkSession, folder: str, reader: TextReader, start: int
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["path", "pdf_file", "page_num", "text", "error"])
 
     read = files.select("path", "pdf_file", "content").mapInArrow(open_all, "path string, pdf_file string, page_num int, text string, error string")
+    read = materialize(read, "read")
     status = read.groupBy("pdf_file").agg(F.count("page_num").cast("int").alias("n_pages"), F.max("error").alias("error"))
     status = status.select("pdf_file", F.when(F.col("error").isNull(), "completed").otherwise("failed").alias("status"), "n_pages", "error")
     pages = read.where("page_num IS NOT NULL")
-    layer = pages.where(~needs_ocr("text")).select("pdf_file", "page_num", "text", F.lit("layer").alias("text_source"))
-    short = pages.where(needs_ocr("text"))
     if ocr is None:
-        return layer.unionByName(short.select("pdf_file", "page_num", "text", F.lit("layer").alias("text_source"))), status
+        return pages.select("pdf_file", "page_num", "text", F.lit("layer").alias("text_source")), status
 
     def recognise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, how = [], []
-            for content, page in zip(*(b.column(k).to_pylist() for k in (2, 1))):
-                try:
-                    texts.append(ocr(content, page))
-                    how.append("ocr")
-                except Exception as e:  # of one page: it has no text, and the reason is kept
-                    texts.append(None)
-                    how.append(f"OCR failed: {e}")
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array(how, pa.string())], ["pdf_file", "page_num", "text", "text_source"])
-
-    again = short.select("path", "pdf_file", "page_num").join(files.select("path", "content"), "path").select("pdf_file", "page_num", "content")
+            for name, wanted, content in zip(*(b.column(k).to_pylist() for k in range(3))):
+                rows = [(name, k, *recognised(ocr, content, k)) for k in wanted]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.string(), pa.int32(), pa.string(), pa.string()))], ["pdf_file", "page_num", "text", "text_source"])
+
+    layer = pages.where(~needs_ocr("text")).select("pdf_file", "page_num", "text", F.lit("layer").alias("text_source"))
+    wanted = pages.where(needs_ocr("text")).groupBy("path").agg(F.sort_array(F.collect_list("page_num")).alias("wanted"))  # of one file, end - start + 1 at most
+    again = files.select("path", "pdf_file", "content").join(wanted, "path").select("pdf_file", "wanted", "content")
     return layer.unionByName(again.mapInArrow(recognise, PAGE_SCHEMA)), status
 
 
+def recognised(ocr: Callable[[bytes, int], str], content: bytes, page: int) -> tuple[str | None, str]:
+    """(text, source) of a page; a page that cannot be recognised has no text, and the reason as its source."""
+    try:
+        return ocr(content, page), "ocr"
+    except Exception as e:  # of one page
+        return None, f"OCR failed: {e}"
+
+
 class PdfPagesSource(DataSource):
     """`spark.read.format("pdf_pages").load(folder)` after `spark.dataSource.register(PdfPagesSource)`.
 
-    Options: path (a folder of all machines), reader ("module:class"). One partition a file; filters on page_num are
-    pushed, so other pages are not decoded. The session needs spark.sql.python.filterPushdown.enabled = true.
+    Options: path (a folder of all machines), reader ("module:class"), ocr ("module:function", for pages of fewer than 100
+    characters; none if not given). One partition a file; filters on page_num are pushed, so other pages are not decoded.
+    A file that cannot be read gives one row, of the first page asked for, with the reason in `error`; it keeps no other
+    from being read. The session needs spark.sql.python.filterPushdown.enabled = true.
     """
 
     @classmethod
@@ -120,7 +129,7 @@ class PdfPagesSource(DataSource):
         return "pdf_pages"
 
     def schema(self) -> str:
-        return PAGE_SCHEMA
+        return f"{PAGE_SCHEMA}, error string"
 
     def reader(self, schema) -> DataSourceReader:
         return _PdfPagesReader(self.options)
@@ -135,6 +144,7 @@ class _PdfPagesReader(DataSourceReader):
     def __init__(self, options):
         self.folder = options["path"]
         self.kind = options.get("reader", "namavali.sources.pages:PdfplumberReader")
+        self.ocr = options.get("ocr")
         self.start, self.end = 1, 1 << 30
 
     def pushFilters(self, filters):
@@ -168,18 +178,29 @@ class _PdfPagesReader(DataSourceReader):
         return [_File(f.path) for f in sorted(found, key=lambda f: f.path) if f.is_file and f.path.endswith(".pdf")] or [_File("")]
 
     def read(self, partition):
-        import importlib
-
-        if not partition.path:
+        if not partition.path or self.start > self.end:
             return
-        system, _ = self._files()
-        with system.open_input_file(partition.path) as f:
-            content = f.read()
-        module, _, kind = self.kind.partition(":")
-        reader = getattr(importlib.import_module(module), kind)()
         stem = partition.path.rpartition("/")[2].removesuffix(".pdf")
-        for k in range(max(1, self.start), min(self.end, reader.pages(content)) + 1):
-            yield (stem, k, reader.text(content, k), "layer")
+        start = max(1, self.start)
+        try:
+            system, _ = self._files()
+            with system.open_input_file(partition.path) as f:
+                content = f.read()
+            ocr = _named(self.ocr) if self.ocr else None
+            rows = []
+            for k, text in _named(self.kind)().texts(content, start, self.end):
+                short = ocr is not None and len((text or "").strip()) < 100
+                rows.append((stem, k, *(recognised(ocr, content, k) if short else (text, "layer")), None))
+        except Exception as e:  # of one file
+            rows = [(stem, start, None, None, f"{type(e).__name__}: {e}")]
+        yield from rows
+
+
+def _named(name: str):
+    import importlib
+
+    module, _, what = name.partition(":")
+    return getattr(importlib.import_module(module), what)
 
 
 def read_names(spark: SparkSession, path: str, keep: tuple[str, ...] = ()) -> DataFrame:

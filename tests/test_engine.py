@@ -126,12 +126,12 @@ def test_duplicates_and_reports(spark):
     df = spark.createDataFrame([(i + 1, n, f) for i, (n, f) in enumerate([("शीतल", "a"), ("शितल", "b"), ("राम", "a"), ("शीतल", "a"), ("किरण", "a"), ("किंरण", "c")])], "seq long, name string, pdf_file string")
     s = duplicates.statistics(df).first()
     assert (s.total, s.unique_names, s.duplicate_groups, s.total_duplicates, s.duplicate_rate) == (6, 3, 2, 3, 50.0)
-    lines = [r.line for r in reports.duplicates_report(duplicates.duplicate_groups(df), duplicates.statistics(df)).orderBy("section", "item", "line_no").collect()]
+    lines = [r.line for r in reports.duplicates_report(df, duplicates.duplicate_groups(df), duplicates.statistics(df)).orderBy("section", "item", "line_no").collect()]
     assert lines[6:13] == ["Duplicate rate: 50.00%", "--- Group #1 ---", "Normalized form: शीतल", "Total occurrences: 3", "Variations found:", "  Line 1: शीतल", "  Line 2: शितल"]
     cross = [r.line for r in reports.cross_file_report(duplicates.cross_file(df)).orderBy("section", "item", "line_no").collect()]
     assert cross == ["CROSS-FILE FIRST NAMES REPORT", "Names appearing in multiple PDF files: 2", "कीरण", "  Found in 2 PDF(s):", "    - a", "    - c", "शीतल", "  Found in 2 PDF(s):", "    - a", "    - b"]
     none = df.where("seq = 3")
-    assert reports.duplicates_report(duplicates.duplicate_groups(none), duplicates.statistics(none)).count() == 0
+    assert reports.duplicates_report(none, duplicates.duplicate_groups(none), duplicates.statistics(none)).count() == 0
 
 
 def test_empty_review(spark):
@@ -143,13 +143,16 @@ def test_empty_review(spark):
 class Stub:
     """Pages are separated by form feeds; a file that says so is broken."""
 
-    def pages(self, content):
+    def texts(self, content, start, end):
         if content == b"broken":
             raise ValueError("no pages")
-        return content.count(b"\f") + 1
+        yield from ((k, t) for k, t in enumerate(content.decode().split("\f"), 1) if start <= k <= end)
 
-    def text(self, content, page):
-        return content.decode().split("\f")[page - 1]
+
+def recognise(content, page):
+    if page == 3:
+        raise ValueError("blank")
+    return f"seen {page}"
 
 
 def test_folder(spark, tmp_path):
@@ -174,6 +177,10 @@ def test_data_source(spark, tmp_path):
     df = spark.read.format("pdf_pages").option("reader", "tests.test_engine:Stub").option("path", str(tmp_path)).load()
     assert [(r.page_num, r.text) for r in df.orderBy("page_num").collect()] == [(1, "one"), (2, "two"), (3, "three")]
     assert [r.text for r in df.where("page_num >= 2 AND page_num < 3").collect()] == ["two"]
+    (tmp_path / "b.pdf").write_text("broken")
+    read = spark.read.format("pdf_pages").option("reader", "tests.test_engine:Stub").option("ocr", "tests.test_engine:recognise").option("path", str(tmp_path)).load()
+    got = {(r.pdf_file, r.page_num, r.text, r.text_source, r.error) for r in read.where("page_num >= 2").collect()}
+    assert got == {("a", 2, "seen 2", "ocr", None), ("a", 3, None, "OCR failed: blank", None), ("b", 2, None, None, "ValueError: no pages")}
 
 
 def test_names_file(spark, tmp_path):
