@@ -170,11 +170,13 @@ def encode_words(lists: DataFrame, path: str, pattern: str) -> DataFrame:
     return words.repartition("share").sortWithinPartitions("share").mapInArrow(run, "block string, share int, sizes binary, data binary")
 
 
-def gather(lists: DataFrame, encoded: DataFrame) -> DataFrame:
-    """Each block's encoded words, then its texts, in one task."""
+def gather(lists: DataFrame, encoded: DataFrame, tasks: int) -> DataFrame:
+    """Each block's encoded words, then its texts, in one task. Blocks go by the number of the partition that made them, in
+    turn, so a task has as many as the input's partitions call for, and no two meet by chance of their hashes."""
     texts = lists.where("share = -1").select("block", "share", "ids", "sizes", "data")
     both = texts.unionByName(encoded.withColumn("ids", F.lit(None).cast("array<bigint>")))
-    return both.repartition("block").sortWithinPartitions(F.col("block"), F.col("share").desc())
+    part = F.split_part("block", F.lit("-"), F.lit(1)).cast("int")
+    return both.repartitionById(tasks, F.pmod(part, F.lit(tasks))).sortWithinPartitions(F.col("block"), F.col("share").desc())
 
 
 def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray, list[np.ndarray]]]:
@@ -201,7 +203,7 @@ def encode_and_decode(df: DataFrame, path: str, pattern: str, id_col: str = "doc
     """Per row: id, n_tokens, and either digests of the ids and of the decoded bytes, or token_ids and decoded."""
     shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = lambda only: list_words(df, pattern, id_col, text_col, shares, only=only)
-    ordered = gather(kind("texts"), encode_words(kind("words"), path, pattern))
+    ordered = gather(kind("texts"), encode_words(kind("words"), path, pattern), shares)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_table(path)

@@ -273,5 +273,5 @@ def test_bpe_in_small_blocks(spark):
     lists = bpe.list_words(df, pattern, "id", "text", 3, block=40).cache()
     assert lists.where("share = -1").count() > 10
     encoded = bpe.encode_words(lists, path, pattern)
-    rows = bpe.gather(lists, encoded).collect()
+    rows = bpe.gather(lists, encoded, 4).collect()
     assert len(rows) == lists.count()
