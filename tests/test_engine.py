@@ -85,6 +85,26 @@ def test_stream_equals_batch(spark, tmp_path):
     assert got == sorted(x.seq for x in dedup.keep_recent(df, ["pdf_file"], ["seq"], 3).collect())
 
 
+def test_streamed_run_equals_batch(spark, tmp_path):
+    from namavali.streaming.run import finish, run_stream
+
+    pages = queries._pages(spark, "/root/testdata/sf0.001").withColumn("late", F.col("pdf_file") >= "roll_J").cache()
+    where = [str(tmp_path / k) for k in ("pages", "out", "check")]
+    for late in (False, True):  # the second part comes after the first has been run to its end
+        pages.where(F.col("late") == late).drop("late").coalesce(1).write.mode("append").parquet(where[0])
+        run_stream(spark, *where, dedup_window=20)
+    got, want = finish(spark, where[0], where[1], "both"), pipeline.run(pages.drop("late"), 20, "both")
+    same = lambda a, b, *cols: sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
+    assert same(got.full, want.full, *queries.ORDER, "name", "norm") and got.full.count() > 100
+    assert same(got.first, want.first, "seq", *queries.FIRST, "name") and got.first.count() > 100
+    assert same(duplicates.duplicate_groups(got.first), duplicates.duplicate_groups(want.first), "normalized", "cnt", "first_seq")
+    assert same(got.sources, want.sources, "normalized", "pdfs", "n_pdfs")
+    assert same(got.errors, want.errors, *queries.extract.KEYS, "block_no", "raw_text", "reason")
+    assert same(got.rejected, want.rejected, *queries.extract.KEYS, "block_no", "name", "reason")
+    assert same(got.validated.valid, want.validated.valid, "seq", "name") and same(got.validated.summary(), want.validated.summary(), "*")
+    assert duplicates.duplicate_groups(got.first).count() > 0
+
+
 @pytest.mark.parametrize(
     ("latins", "want"),
     [(["rama", "rami", "ramu", "roma"], [[0, 1, 2]]), (["rama", "roma", "rami"], [[0, 1]]), (["rama", "rama", "rami"], [[0, 2]]), (["rama", "ramaa"], [])],
