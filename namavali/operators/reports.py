@@ -67,6 +67,20 @@ def cross_file_report(names: DataFrame) -> DataFrame:
     return head.unionByName(_rows(g, 2, F.concat(F.array(F.col("normalized"), _text("  Found in ", F.col("n_pdfs"), " PDF(s):")), files)))
 
 
+def summary_report(full: DataFrame, first: DataFrame, sources: DataFrame, top: int = 5) -> DataFrame:
+    """What a run has written: names of each file, first names, names of several files with the most frequent, total."""
+    c = F.col
+    files = materialize(full.groupBy("pdf_file").agg(F.count("*").alias("n")), "files")
+    cross = sources.where("n_pdfs > 1")
+    both = first.agg(F.count("*").alias("n")).crossJoin(cross.agg(F.count("*").alias("m"))).withColumn("item", F.lit(0))  # one row each
+    said = F.array(F.lit("Global First Names"), _text("  Total unique first names collected: ", c("n")), _text("  Names appearing in multiple PDFs: ", c("m")))
+    most = _item(cross.select("normalized", "n_pdfs").orderBy(F.desc("n_pdfs"), "normalized").limit(top), F.desc("n_pdfs"), "normalized")
+    total = files.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).withColumn("item", F.lit(0))
+    out = _rows(_item(files, "pdf_file"), 1, F.array(_text(c("pdf_file"), ":"), _text("  Full names: ", c("n"))))
+    out = out.unionByName(_rows(both, 2, said)).unionByName(_rows(most, 3, F.array(_text("    ", c("normalized"), ": ", c("n_pdfs"), " PDFs"))))
+    return out.unionByName(_rows(total, 4, F.array(_text("Total full names written: ", c("n")))))
+
+
 def review_report(v: Validated) -> DataFrame:
     """Counts, clusters with their distances, ill-formed names, and names with known patterns."""
     c = F.col

@@ -302,6 +302,13 @@ e AS (SELECT *, row_number() OVER (ORDER BY pdf_file, page_num, block_no) AS ite
 r AS (SELECT *, row_number() OVER (ORDER BY pdf_file, page_num, block_no, name, reason) AS item FROM rejected),
 x AS (SELECT 1 AS section, item, ['--- Error #' || item || ' ---', 'File: ' || pdf_file, 'Page: ' || page_num, 'Reason: ' || reason, 'Raw Text:', raw_text] AS l FROM e
   UNION ALL SELECT 2, item, ['--- Rejected #' || item || ' ---', 'File: ' || pdf_file, 'Page: ' || page_num, 'Name: ' || name, 'Reason: ' || reason] FROM r)
+SELECT section, item, i::INT AS line_no, l[i + 1] AS line FROM x, unnest(range(len(l))) AS u(i)""",
+    "report_summary": f"""{_WITH}, {_SOURCES}, n AS (SELECT pdf_file, count(DISTINCT {key('full_name')}) AS n FROM accepted GROUP BY pdf_file),
+t AS (SELECT *, row_number() OVER (ORDER BY n_pdfs DESC, normalized) AS item FROM sources WHERE n_pdfs > 1),
+x AS (SELECT 1 AS section, row_number() OVER (ORDER BY pdf_file) AS item, [pdf_file || ':', '  Full names: ' || n] AS l FROM n
+  UNION ALL SELECT 2, 0, ['Global First Names', '  Total unique first names collected: ' || (SELECT count(*) FROM listed), '  Names appearing in multiple PDFs: ' || (SELECT count(*) FROM t)]
+  UNION ALL SELECT 3, item, ['    ' || normalized || ': ' || n_pdfs || ' PDFs'] FROM t WHERE item <= 5
+  UNION ALL SELECT 4, 0, ['Total full names written: ' || sum(n)] FROM n)
 SELECT section, item, i::INT AS line_no, l[i + 1] AS line FROM x, unnest(range(len(l))) AS u(i)""",
     "report_cross_file": f"""{_WITH}, {_SOURCES}, c AS (SELECT *, row_number() OVER (ORDER BY n_pdfs DESC, normalized) AS item FROM sources WHERE n_pdfs > 1),
 x AS (SELECT 2 AS section, item, list_concat([normalized, '  Found in ' || n_pdfs || ' PDF(s):'], list_transform(string_split(pdfs, ','), lambda p: '    - ' || p)) AS l FROM c

@@ -46,6 +46,7 @@ def write(r: Run, path: str) -> None:
     sinks.write_lines(reports.duplicates_report(r.first, duplicates.duplicate_groups(r.first), duplicates.statistics(r.first)), f"{path}/only_names_duplicates_report", at)
     sinks.write_lines(reports.cross_file_report(r.sources.where("n_pdfs > 1")), f"{path}/only_names_cross_file_report", at)
     sinks.write_lines(reports.error_report(r.errors, r.rejected), f"{path}/errors_report", at)
+    sinks.write_lines(reports.summary_report(r.full, r.first, r.sources), f"{path}/summary", at)
     sinks.write_table(r.errors, f"{path}/errors")
     sinks.write_table(r.rejected, f"{path}/rejected")
 
@@ -68,6 +69,14 @@ def arguments(argv: list[str]) -> argparse.Namespace:
     return a
 
 
+def folder_problem(spark: SparkSession, folder: str) -> str | None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return f"Folder does not exist: {folder}"
+    return None if system.getFileStatus(path).isDirectory() else f"Path is not a directory: {folder}"
+
+
 def main(argv: list[str] | None = None) -> int:
     import os
 
@@ -78,6 +87,9 @@ def main(argv: list[str] | None = None) -> int:
     if "SPARK_MASTER" not in os.environ and not SparkSession.getActiveSession():
         builder = builder.master(f"local[{a.workers or max(1, (os.cpu_count() or 2) - 1)}]")
     spark = builder.getOrCreate()
+    if problem := folder_problem(spark, a.folder):
+        print(problem)
+        return 1
     pages, status = read_pages(spark, a.folder, PdfplumberReader(), a.start, a.end, tesseract)
     pages, status = materialize(pages, "pages"), materialize(status, "status")
     if status.isEmpty():
@@ -85,6 +97,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     write(run(pages, a.dedup_window, a.add_correction), a.output)
     sinks.write_table(status, f"{a.output}/file_status")
+    for r in spark.read.text(f"{a.output}/summary").where("value NOT LIKE '  Full names:%' AND value NOT LIKE '%:'").collect():  # the totals and top five
+        print(r.value)
     return 0
 
 

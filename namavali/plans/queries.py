@@ -484,6 +484,12 @@ def report_cross_file(s: SparkSession, d: str) -> DataFrame:
     return reports.cross_file_report(duplicates.cross_file(_firsts(s, d)))
 
 
+@query
+def report_summary(s: SparkSession, d: str) -> DataFrame:
+    full = dedup.deduplicate(_full(s, d), ["pdf_file"], ORDER)
+    return reports.summary_report(full, _listed(s, d), duplicates.sources(_firsts(s, d)))
+
+
 @query
 def report_rejects(s: SparkSession, d: str) -> DataFrame:
     """Errors of blocks, then rejected names."""

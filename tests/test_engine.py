@@ -188,6 +188,8 @@ def test_folder(spark, tmp_path):
     pipeline.write(r, str(tmp_path / "out"))
     assert [x.value for x in spark.read.text(str(tmp_path / "out/extracted_names")).where("pdf_file = 'a.b'").collect()][:2] == ["प्रकाश चंद्रकांत चोपडे", "चंद्रकांत चोपडे"]
     assert spark.read.text(str(tmp_path / "out/errors_report")).count() > 10
+    summary = [x.value for x in spark.read.text(str(tmp_path / "out/summary")).collect()]
+    assert summary == ["a.b:", "  Full names: 6", "Global First Names", "  Total unique first names collected: 7", "  Names appearing in multiple PDFs: 0", "Total full names written: 6"]
 
 
 def test_data_source(spark, tmp_path):
@@ -233,6 +235,13 @@ def test_bad_arguments(argv):
     assert e.value.code == 1
 
 
+def test_folder_must_exist(spark, tmp_path, capsys):
+    (tmp_path / "f").write_text("x")
+    assert [pipeline.main(["-f", str(tmp_path / k), "-o", str(tmp_path / "o")]) for k in ("none", "f")] == [1, 1]
+    said = capsys.readouterr().out
+    assert "does not exist" in said and "not a directory" in said
+
+
 def test_arguments():
     a = pipeline.arguments(["-f", "x", "--dedup-window", "0", "-a", "both"])
     assert (a.start, a.end, a.dedup_window, a.output, a.add_correction) == (3, 32, 1000, "./output", "both")
