@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +76,54 @@ def tasks_for(df: DataFrame, at_least: int = 1) -> int:
     return max(at_least, df.rdd.getNumPartitions())
 
 
+# ---- what a worker holds between tasks -------------------------------------------------------------------------------
+
+#: How to empty the caches that operators keep in a Python process from task to task, by operator.
+_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def keeps(operator: str, clear: Callable[[], None]) -> None:
+    _CACHES[operator] = clear
+
+
+def empty_others(operator: str) -> None:
+    """Caches of other operators go."""
+    for name, clear in _CACHES.items():
+        if name != operator:
+            clear()
+
+
+@lru_cache(maxsize=1)
+def _malloc_trim() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another C library than glibc
+        return None
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system, which the allocators would keep for as long as the worker lives."""
+    pa.default_memory_pool().release_unused()
+    if trim := _malloc_trim():
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], operator: str = "") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run for mapInArrow; its tasks leave no more behind in a worker than the operator's own cache.
+
+    Workers wait beside the executor's heap while other stages run, so what they hold counts there too.
+    """
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty_others(operator)
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
 # ---- vectorised words ------------------------------------------------------------------------------------------------
 
 _SPACE = np.zeros(256, bool)

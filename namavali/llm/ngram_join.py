@@ -40,7 +40,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, hash_words, materialize, mix, text_buffer
+from .common import chunks, hash_words, materialize, mix, text_buffer, tidy
 
 WORDS, PERCENT = 5, 80
 #: Buckets of a set's signature; a list's entries in a share; shingles of a block and of a range, at a mean; texts of a
@@ -121,7 +121,7 @@ def sets_table(rows: DataFrame, k: int) -> DataFrame:
                 sigs = pa.ListArray.from_arrays(pa.array(np.arange(0, len(sig) + 1, SIGNATURE), pa.int32()), pa.array(sig))
                 yield pa.RecordBatch.from_arrays([b.column(0)[i:j], pa.array(n, pa.int64()), pa.array(keys, pa.binary()), sigs], ["id", "n", "key", "signature"])
 
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n long, key binary, signature array<int>")
+    return rows.mapInArrow(tidy(run), f"id {rows.schema['id'].dataType.simpleString()}, n long, key binary, signature array<int>")
 
 
 def shingle_blocks(rows: DataFrame, k: int, shares: int) -> DataFrame:
@@ -175,7 +175,7 @@ def shingle_blocks(rows: DataFrame, k: int, shares: int) -> DataFrame:
         if held:
             yield block(keys, sizes, names, texts)
 
-    return rows.mapInArrow(run, "block string, share int, names binary, texts binary, many binary, extra binary")
+    return rows.mapInArrow(tidy(run), "block string, share int, names binary, texts binary, many binary, extra binary")
 
 
 def count_shares(blocks: DataFrame, shares: int) -> DataFrame:
@@ -241,7 +241,7 @@ def prefix_lists(rows: DataFrame, k: int, percent: int, shares: int) -> DataFram
         if now is not None:
             yield texts_of(parts, extra)
 
-    return counted.repartition("block").sortWithinPartitions("block").mapInArrow(run, "h long, key binary, n long, p int, shares int")
+    return counted.repartition("block").sortWithinPartitions("block").mapInArrow(tidy(run), "h long, key binary, n long, p int, shares int")
 
 
 def _alpha(a: str, b: str, percent: int) -> Column:
@@ -319,7 +319,7 @@ def verify(rows: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame
                         made.append((key, s[a:z].tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made], pa.binary()), pa.array([m[1] for m in made], pa.binary())], ["key", "set"])
 
-    sets = rows.mapInArrow(sets_of, "key binary, set binary").join(keys, "key", "left_semi").dropDuplicates(["key"])
+    sets = rows.mapInArrow(tidy(sets_of), "key binary, set binary").join(keys, "key", "left_semi").dropDuplicates(["key"])
     sets = materialize(sets, "sets")
     owners = pairs.select(F.col("a").alias("key")).distinct().join(sets, "key").select(F.col("key").alias("a"), F.lit(None).cast("binary").alias("b"), "set")
     others = pairs.join(sets.withColumnRenamed("key", "b"), "b").select("a", "b", "set")
@@ -340,7 +340,7 @@ def verify(rows: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame
                     found.append((a.as_py(), b.as_py()))
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary())], ["a", "b"])
 
-    return materialize(ordered.mapInArrow(compare, "a binary, b binary"), "links")
+    return materialize(ordered.mapInArrow(tidy(compare), "a binary, b binary"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, _SPACE, chunks, materialize, text_buffer
+from .common import CHUNK_BYTES, _SPACE, chunks, keeps, materialize, text_buffer, tidy
 
 CAPACITY, END = 2048, 0
 #: Parts of the capacity up to which pieces may count as small, the number of groups that the others fall into, and the
@@ -192,6 +192,9 @@ def word_cache(path: str) -> WordCache:
     return WordCache(path)
 
 
+keeps("packing", word_cache.cache_clear)
+
+
 def encode_texts(column: pa.Array, cache: WordCache) -> Iterator[np.ndarray]:
     """Ids of each text. The tokenizer drops white space, so words between ASCII white space are encoded alone."""
     if not added(cache.path)[0]:
@@ -237,7 +240,7 @@ def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(tidy(run, "packing"), f"id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
 # ---- the plan, on counts ---------------------------------------------------------------------------------------------
@@ -430,7 +433,7 @@ def best_fit_pack(
 
     placed = "uid long, length long, sequence_id long, slot long"
     columns = [F.col("uid"), F.col("length"), F.col("rank").cast("long").alias("rank")]
-    large = materialize(ranked.where(F.col("length") > small).select(*columns).mapInArrow(place_large, placed), "large")
+    large = materialize(ranked.where(F.col("length") > small).select(*columns).mapInArrow(tidy(place_large, "packing"), placed), "large")
     free = large.groupBy("sequence_id").agg((capacity - F.sum("length")).alias("gap")).where("gap > 0")
     free = materialize(with_rank(free, "gap", ["sequence_id"], sequences), "free")
     gaps = {r["gap"]: r["count"] for r in free.groupBy("gap").count().collect()}  # fewer than `capacity` rows
@@ -445,7 +448,7 @@ def best_fit_pack(
                 [b.column(0), b.column(1), pa.array(f[:, 3]), pa.array(f[:, 4] + rank - f[:, 1]), pa.array(f[:, 5] + capacity)], ["uid", "length", "gap", "place", "slot"]
             )
 
-    little = ranked.where(F.col("length") <= small).select(*columns).mapInArrow(place_small, "uid long, length long, gap long, place long, slot long")
+    little = ranked.where(F.col("length") <= small).select(*columns).mapInArrow(tidy(place_small, "packing"), "uid long, length long, gap long, place long, slot long")
     new = little.where("gap < 0").withColumn("sequence_id", F.col("place") + F.lit(sequences))
     old = little.where("gap >= 0").join(free.select(F.col("gap"), F.col("rank").cast("long").alias("place"), "sequence_id"), ["gap", "place"])
     names = ["uid", "length", "sequence_id", "slot"]

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 #: The kinds in the order that breaks ties between spans with one start.
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -117,7 +119,7 @@ def find_secrets(df: DataFrame, vocabulary: str, pattern: str, id_col: str = "do
 
     rows = df.select(F.col(id_col).alias(id_col), F.col(text_col).alias("__text"))
     kind = rows.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string")
+    return rows.mapInArrow(tidy(run), f"`{id_col}` {kind}, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string")
 
 
 def mask_secrets(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", ratio: float = 2.0, mark: str = "[SECRET]") -> DataFrame:
@@ -141,4 +143,4 @@ def mask_secrets(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=b.schema.names)
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidy(run), df.schema)
