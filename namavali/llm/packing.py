@@ -1,6 +1,7 @@
 """Best-fit packing by linear grouping, planned on counts and carried out on all pieces.
 
-1. Texts are tokenized (each distinct word of a batch once) and cut into pieces of at most `capacity` tokens.
+1. Texts are tokenized (each distinct word of some megabytes of text once, all of them together in arrays) and cut into
+   pieces of at most `capacity` tokens.
 2. Pieces of over `small` tokens are ranked by length and put into groups of equal cardinality; each group's lengths
    count as its largest. For these few sizes the configurations are optimised (columns of the cutting-stock relaxation,
    the rest by best fit), then the actual pieces take their group's places.
@@ -20,7 +21,6 @@ own. An empty table gives an empty table. Only the id and the text are read.
 
 from __future__ import annotations
 
-import gc
 import json
 import re
 import zlib
@@ -30,10 +30,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, _SPACE, chunks, keeps, materialize, text_buffer, tidy
+from .common import _LOWER, _SPACE, CHUNK_BYTES, chunks, keeps, materialize, text_buffer, tidy
 
 CAPACITY, END = 2048, 0
 #: Parts of the capacity up to which pieces may count as small, the number of groups that the others fall into, and the
@@ -69,23 +70,68 @@ _MODEL = {"type": "BPE", "dropout": None, "continuing_subword_prefix": None, "fu
 
 
 @lru_cache(maxsize=4)
-def added(path: str) -> tuple[bool, re.Pattern | None]:
-    """Whether the file is of the known kind, and a pattern of the strings of its special tokens, if it has any."""
+def added(path: str) -> tuple[bool, tuple[str, ...]]:
+    """Whether the file is of the known kind, and the strings of its special tokens."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     tokens = spec.get("added_tokens") or []
     alone = all(not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) and t["content"] and not re.search(r"\s", t["content"]) for t in tokens)
     known = alone and all(spec.get(k) == v for k, v in KNOWN.items()) and all(spec["model"].get(k) == v for k, v in _MODEL.items()) and bool(spec["model"].get("end_of_word_suffix"))
-    return known, re.compile("|".join(re.escape(t["content"]) for t in tokens)) if tokens else None
+    return known and max(spec["model"]["vocab"].values()) < 1 << 16, tuple(t["content"] for t in tokens)
+
+
+#: Bytes of plain words, whose normal form and pre-tokens are plain: ASCII letters, digits and marks without an apostrophe,
+#: and Latin letters of two bytes, the first of which is always _WIDE.
+_PLAIN = np.zeros(256, bool)
+_PLAIN[33:127] = True
+_PLAIN[ord("'")] = False
+_WIDE = 0xC3
+#: Kinds of lower-cased bytes of plain words: 0 letters, 1 digits, 2 marks.
+_KIND = np.full(256, 2, np.uint8)
+_KIND[ord("0") : ord("9") + 1] = 1
+_KIND[[*range(ord("a"), ord("z") + 1), *range(128, 256)]] = 0
+#: Bytes of the longest word merged here. The library's time does not grow with the square of a word's length.
+LONGEST = 256
+#: Strings whose ids are put together at once, and words that the library is given at once.
+GATHERED, GIVEN = 1 << 18, 10_000
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of the ranges start, start + 1, ... of the given sizes, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+def strings(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of a large_binary array's strings, one after the other, and their n + 1 offsets."""
+    if not len(array):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(array.buffers()[1], np.int64)[array.offset : array.offset + len(array) + 1]
+    data = array.buffers()[2]
+    return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8))[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def pre_tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of plain words, none empty: lower-cased bytes, the pre-tokens' starts there, and each word's first pre-token. The
+    last of the starts and of the first ones is the end."""
+    low = _LOWER[data]
+    capital = np.flatnonzero((data[:-1] == _WIDE) & (data[1:] < 0x9F)) + 1
+    low[capital] |= 0x20
+    kind = _KIND[low]
+    first = kind == 1
+    first[1:] |= kind[1:] != kind[:-1]
+    first[offsets[:-1]] = True
+    starts = np.append(np.flatnonzero(first), len(low))
+    return low, starts, np.searchsorted(starts, offsets)
 
 
-#: Words whose normal form and pre-tokens are plain: Latin letters, digits and ASCII marks without an apostrophe.
-PLAIN = re.compile(r"[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-PIECE = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+class Merges:
+    """The tokenizer's merges, applied to many pre-tokens at once: each takes its lowest merge, leftmost first, in turn.
 
+    Ranks are found in a table by a hash of the pair; pairs whose place is taken are in a short sorted list.
+    """
 
-class Merges:
-    """The tokenizer's merges, applied to many pre-tokens at once: each takes its lowest merge, leftmost first, in turn."""
+    BITS, NONE = 18, (1 << 31) - 1
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -95,40 +141,67 @@ class Merges:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in set(plain)]
         char = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}  # bytes as printable characters
-        self.inner = np.array([vocab[char[b]] for b in range(256)], np.int64)
-        self.last = np.array([vocab[char[b] + suffix] for b in range(256)], np.int64)
-        keys = np.array([vocab[a] << 16 | vocab[b] for a, b in pairs], np.int64)
-        made = np.array([vocab[a + b] for a, b in pairs], np.int64)
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.rank, self.made = keys[order], order.astype(np.int64), made[order]
-
-    def encode(self, pieces: list[bytes]) -> list[bytes]:
-        """Ids of each, as little-endian 32-bit numbers."""
-        sizes = np.array([len(p) for p in pieces], np.int64)
-        raw = np.frombuffer(b"".join(pieces), np.uint8)
-        token = self.inner[raw]
-        ends = np.cumsum(sizes)
-        token[ends - 1] = self.last[raw[ends - 1]]
-        out = [b""] * len(pieces)
-        names, none = np.arange(len(pieces)), np.int64(1) << np.int64(62)
+        self.inner = np.array([vocab[char[b]] for b in range(256)], np.uint32)
+        self.last = np.array([vocab[char[b] + suffix] for b in range(256)], np.uint32)
+        self.made = np.array([vocab[a + b] for a, b in pairs], np.uint32)
+        keys = np.array([vocab[a] << 16 | vocab[b] for a, b in pairs], np.uint32)
+        place, at = np.unique(self._place(keys), return_index=True)
+        self.keys, self.ranks = np.zeros(1 << self.BITS, np.uint32), np.full(1 << self.BITS, self.NONE, np.int32)
+        self.keys[place], self.ranks[place] = keys[at], at
+        rest = np.setdiff1d(np.arange(len(keys)), at)
+        rest = rest[np.argsort(keys[rest], kind="stable")]
+        self.more_keys, self.more_ranks = keys[rest], rest.astype(np.int32)
+        self.crowded = np.zeros(1 << self.BITS, bool)
+        self.crowded[self._place(self.more_keys)] = True
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * np.uint32(0x9E3779B1)) >> np.uint32(32 - self.BITS)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs; NONE for those that are not merged."""
+        keys = left << np.uint32(16) | right
+        place = self._place(keys)
+        found = self.keys[place] == keys
+        out = np.where(found, self.ranks[place], np.int32(self.NONE))
+        rest = np.flatnonzero(~found & self.crowded[place])
+        if len(rest):
+            k = np.minimum(np.searchsorted(self.more_keys, keys[rest]), len(self.more_keys) - 1)
+            out[rest] = np.where(self.more_keys[k] == keys[rest], self.more_ranks[k], np.int32(self.NONE))
+        return out
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pre-tokens data[offset:next offset], none empty, one after the other, and how many each has."""
+        ends, sizes, names = offsets[1:], np.diff(offsets), np.arange(len(offsets) - 1)
+        token = self.inner[data]
+        token[ends - 1] = self.last[data[ends - 1]]
+        rank = np.full(len(token), self.NONE, np.int32)
+        rank[:-1] = self.rank(token[:-1], token[1:])
+        rank[ends - 1] = self.NONE
+        told: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         while len(names):
+            firsts = ends - sizes
+            best = np.minimum.reduceat(rank.astype(np.int64) << 32 | np.arange(len(rank)), firsts)
+            on = best >> 32 != self.NONE
+            left, at = np.repeat(on, sizes), best[on] & 0xFFFFFFFF
+            told.append((names[~on], sizes[~on], token[~left]))
+            token[at] = self.made[rank[at]]
+            left[at + 1] = False
+            token, rank = token[left], rank[left]
+            at = at - firsts[on]
+            names, sizes = names[on], sizes[on] - 1
             ends = np.cumsum(sizes)
-            key = np.append(token[:-1] << 16 | token[1:], -1)
-            key[ends - 1] = -1
-            k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            value = np.where(self.keys[k] == key, self.rank[k] << 32 | np.arange(len(token)), none)
-            best = np.minimum.reduceat(value, ends - sizes)
-            done = best == none
-            if done.any():
-                told = token.astype("<u4").tobytes()
-                for i, a, z in zip(names[done].tolist(), (4 * (ends - sizes)[done]).tolist(), (4 * ends[done]).tolist()):
-                    out[i] = told[a:z]
-            at = best[~done] & 0xFFFFFFFF
-            token[at] = self.made[k[at]]
-            keep = np.repeat(~done, sizes)
-            keep[at + 1] = False
-            token, sizes, names = token[keep], sizes[~done] - 1, names[~done]
-        return out
+            at += ends - sizes
+            # The merged token's pairs with its neighbours, where it has any, are the only new ones.
+            rank[at] = self.NONE
+            inner = at[at + 1 < ends]
+            rank[inner] = self.rank(token[inner], token[inner + 1])
+            inner = at[at > ends - sizes]
+            rank[inner - 1] = self.rank(token[inner - 1], token[inner])
+        if not told:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        names, sizes, flat = (np.concatenate(x) for x in zip(*told))
+        order = np.argsort(names)
+        return flat[spread((np.cumsum(sizes) - sizes)[order], sizes[order])], sizes[order]
 
 
 @lru_cache(maxsize=4)
@@ -136,54 +209,85 @@ def merges(path: str) -> Merges:
     return Merges(path)
 
 
-class Numbering(dict):
-    """Keys numbered as they are first looked up."""
+class Ids:
+    """Ids of strings: those of string k are `sizes[k]` numbers of `flat` from `starts[k]`."""
 
-    def __missing__(self, key: bytes) -> int:
-        n = self[key] = len(self)
-        return n
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
+        self.flat, self.sizes, self.starts = flat, sizes, np.cumsum(sizes) - sizes
+
+    def of(self, k: np.ndarray) -> np.ndarray:
+        """Ids of the strings k, one after the other."""
+        parts = (k[i : i + GATHERED] for i in range(0, len(k), GATHERED))
+        return np.concatenate([self.flat[:0], *(self.flat[spread(self.starts[p], self.sizes[p])] for p in parts)])
 
 
 class WordCache:
-    """Ids of words, as bytes, kept from batch to batch up to a bound. Plain words are merged by pre-token, the others
-    tokenized."""
-
-    def __init__(self, path: str, most: int = 400_000):
-        self.path, self.most, self.ids, self.pieces = path, most, {}, {}
-
-    def get(self, found: list[bytes]) -> list[bytes]:
-        """Ids of each word. What is made here has no cycles, and the collector would go through all of it again and again."""
-        on = gc.isenabled()
-        gc.disable()
-        try:
-            return self._get(found)
-        finally:
-            if on:
-                gc.enable()
-
-    def _get(self, found: list[bytes]) -> list[bytes]:
-        ids, pieces = self.ids, self.pieces
-        new = [w for w in found if w not in ids]
-        plain, odd, special = [], [], added(self.path)[1]
-        for w in new:
-            t = w.decode()
-            if PLAIN.fullmatch(t) and not (special and special.search(t)):
-                plain.append((w, PIECE.findall(t.lower())))
-            else:
-                odd.append((w, t))
-        fresh = list({p for _, ps in plain for p in ps}.difference(pieces))
-        if fresh:
-            told = merges(self.path).encode([p.encode() for p in fresh])
-            if len(pieces) > self.most:
-                pieces = dict(pieces)
-            pieces.update(zip(fresh, told))
-        more = ids if len(ids) <= self.most else {}  # a full cache stays as it is: frequent words have come early
-        for w, ps in plain:
-            more[w] = pieces[ps[0]] if len(ps) == 1 else b"".join([pieces[p] for p in ps])
-        if odd:
-            got = tokenizer(self.path).encode_batch_fast([t for _, t in odd], add_special_tokens=False)
-            more.update((w, np.array(e.ids, "<u4").tobytes()) for (w, _), e in zip(odd, got))
-        return [ids[w] for w in found] if more is ids else [ids[w] if w in ids else more[w] for w in found]
+    """Ids of pre-tokens and of words that are not plain, kept from batch to batch up to a bound each. Plain words are
+    merged by pre-token, the others tokenized."""
+
+    def __init__(self, path: str, most: int = 200_000):
+        self.path, self.most = path, most
+        self.known, self.ids, self.sizes = pa.array([], pa.large_binary()), pa.array([], pa.uint32()), np.zeros(0, np.int64)
+        self.odd: dict[bytes, bytes] = {}
+
+    def _plain(self, low: np.ndarray, starts: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and the ids; a word's pre-tokens begin at its entry in `first`."""
+        numbers, ids = self._pieces(pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(low)]))
+        return np.add.reduceat(ids.sizes[numbers], first[:-1]), ids.of(numbers)
+
+    def _pieces(self, found: pa.Array) -> tuple[np.ndarray, Ids]:
+        """Each pre-token's number, and the ids by number."""
+        coded = pa.concat_arrays([self.known, found]).dictionary_encode()  # known ones come first and keep their numbers
+        fresh = coded.dictionary[len(self.known) :]
+        flat, sizes = merges(self.path).encode(*strings(fresh))
+        ids = Ids(np.concatenate([self.ids.to_numpy(), flat]), np.concatenate([self.sizes, sizes]))
+        numbers = coded.indices.to_numpy()[len(self.known) :]
+        if len(self.known) <= self.most:  # a full cache stays as it is: frequent ones have come early
+            self.known, self.ids, self.sizes = coded.dictionary, pa.array(ids.flat), ids.sizes
+        return numbers, ids
+
+    def _odd(self, found: list[bytes]) -> list[bytes]:
+        new = [w for w in found if w not in self.odd]
+        more: dict[bytes, bytes] = {}
+        for i in range(0, len(new), GIVEN):
+            some = new[i : i + GIVEN]
+            got = tokenizer(self.path).encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
+            more.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(some, got))
+        if len(self.odd) <= self.most:
+            self.odd.update(more)
+        return [self.odd[w] if w in self.odd else more[w] for w in found]
+
+    def get(self, found: pa.Array) -> Ids:
+        """Ids of words, a large_binary array."""
+        parts = [self._get(found[i:j]) for i, j in chunks(strings(found)[1], CHUNK_BYTES * 4)]
+        return Ids(*(np.concatenate(x) for x in zip(*parts))) if parts else Ids(np.zeros(0, np.uint32), np.zeros(0, np.int64))
+
+    def _get(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        data, offsets = strings(found)
+        wide = np.zeros(len(data), bool)
+        if len(data) and data.max() > 127:
+            wide[1:] = (data[:-1] == _WIDE) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+            wide |= data == _WIDE
+        bad = np.flatnonzero(~(_PLAIN[data] | wide))
+        n = np.diff(offsets)
+        odd = (n == 0) | (n > LONGEST)
+        odd[np.searchsorted(offsets, bad, "right") - 1] = True
+        for content in added(self.path)[1]:
+            odd |= pc.match_substring(found, content.encode()).to_numpy(zero_copy_only=False)
+        sizes, flat, plain = np.zeros(len(found), np.int64), np.zeros(0, np.uint32), np.flatnonzero(~odd)
+        if len(plain):
+            data, offsets = strings(found.filter(pa.array(~odd)))
+            low, starts, first = pre_tokens(data, offsets)
+            told = [self._plain(low, starts[first[i] : first[j] + 1], first[i : j + 1] - first[i]) for i, j in chunks(first, GATHERED * 4)]
+            sizes[plain], flat = np.concatenate([n for n, _ in told]), np.concatenate([x for _, x in told])
+        if not odd.any():
+            return flat, sizes
+        told = self._odd(found.filter(pa.array(odd)).to_pylist())
+        sizes[odd] = np.fromiter(map(len, told), np.int64, len(told)) // 4
+        out = np.zeros(int(sizes.sum()), np.uint32)
+        here = np.repeat(odd, sizes)
+        out[here], out[~here] = np.frombuffer(b"".join(told), "<u4"), flat
+        return out, sizes
 
 
 @lru_cache(maxsize=2)
@@ -202,38 +306,33 @@ def encode_texts(column: pa.Array, cache: WordCache) -> Iterator[np.ndarray]:
             yield np.array(tokenizer(cache.path).encode(text or "", add_special_tokens=False).ids, "<u4")
         return
     data, offsets = text_buffer(column)
-    for i, j in chunks(offsets, CHUNK_BYTES * 8):
-        text = data[offsets[i] : offsets[j]].tobytes()
-        bounds = (offsets[i : j + 1] - offsets[i]).tolist()
-        number = Numbering()
-        places = []
-        for a, z in zip(bounds, bounds[1:]):
-            found = text[a:z].split()
-            places.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
-        coded = cache.get(list(number))
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        flat = np.frombuffer(b"".join(coded), "<u4")
-        starts = np.cumsum(sizes) - sizes
-        for at in places:
-            n = sizes[at]
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if len(ends) else 0
-            yield flat[np.arange(total) + np.repeat(starts[at] - ends + n, n)]
+    for i, j in chunks(offsets, CHUNK_BYTES * 4):
+        bounds, part = pa.py_buffer(offsets[i : j + 1] - offsets[i]), pa.py_buffer(data[offsets[i] : offsets[j]])
+        split = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.large_string(), j - i, [None, bounds, part]))
+        coded = split.flatten().cast(pa.large_binary()).dictionary_encode()
+        words, ids, ends = coded.indices.to_numpy(), cache.get(coded.dictionary), np.asarray(split.offsets, np.int64)
+        for a, z in chunks(ends, GATHERED):
+            at = words[ends[a] : ends[z]]
+            flat, tokens = ids.of(at).astype("<u4", copy=False), np.append(0, np.cumsum(ids.sizes[at]))
+            places = tokens[ends[a : z + 1] - ends[a]].tolist()
+            for k, n in zip(places, places[1:]):
+                yield flat[k:n]
 
 
 def pieces(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """Per piece: id, piece, start, length, ids_crc32."""
     assert bool(_SPACE[list(b" \t\n\x0b\x0c\r")].all())
+    last = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = word_cache(path)
         for b in batches:
             rows: list[tuple] = []
             for i, ids in zip(b.column(0).to_pylist(), encode_texts(b.column(1), cache)):
-                ids = np.append(ids, np.uint32(end)).astype("<u4")
-                for k, a in enumerate(range(0, len(ids), capacity)):
-                    part = ids[a : a + capacity]
-                    rows.append((i, k, a, len(part), zlib.crc32(part.tobytes())))
+                n = len(ids) + 1
+                for k, a in enumerate(range(0, n, capacity)):
+                    crc = zlib.crc32(ids[a : a + capacity])
+                    rows.append((i, k, a, min(capacity, n - a), crc if a + capacity < n else zlib.crc32(last, crc)))
             cols = list(zip(*rows)) or [[]] * 5
             kinds = (b.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["id", "piece", "start", "length", "ids_crc32"])

@@ -2,10 +2,12 @@
 
 import base64
 import hashlib
+import json
 import math
 import os
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -436,3 +438,63 @@ def test_words_are_encoded_alone():
     assert [g.tolist() for g in got] == [tokens.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+
+
+def _calls(f) -> int:
+    n = 0
+
+    def count(frame, event, arg):
+        nonlocal n
+        n += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        f()
+    finally:
+        sys.setprofile(None)
+    return n
+
+
+def test_encoding_takes_no_step_of_python_per_word():
+    """The time of words that occur once, and of one long word, is not spent word by word or merge by merge."""
+    r = random.Random(15)
+    path = queries.vocabulary("word_bpe_49k.json")
+    tokens = packing.tokenizer(path)
+    packing.merges(path), packing.added(path)
+    many = " ".join({"".join(r.choices("aeinorst", k=r.randint(3, 12))).capitalize() + r.choice(["", ",", "."]) for _ in range(20_000)})
+    for text in (many, "".join(r.choices("abcde", k=5_000))):
+        got = []
+        assert _calls(lambda: got.extend(packing.encode_texts(pa.array([text]), packing.WordCache(path)))) < 4_000
+        assert [g.tolist() for g in got] == [tokens.encode(text, add_special_tokens=False).ids]
+
+
+def test_merges_find_each_pair():
+    m = packing.merges(queries.vocabulary("word_bpe_49k.json"))
+    with open(queries.vocabulary("word_bpe_49k.json"), encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    rank = {}
+    for k, pair in enumerate(model["merges"]):
+        a, b = pair.split(" ") if isinstance(pair, str) else pair
+        rank[model["vocab"][a], model["vocab"][b]] = k
+    assert len(m.more_keys) > 100  # pairs that share a place in the table
+    r = np.random.default_rng(16)
+    pairs = np.concatenate([np.array(list(rank)), r.integers(0, len(model["vocab"]), (300_000, 2))]).astype(np.uint32)
+    assert m.rank(pairs[:, 0], pairs[:, 1]).tolist() == [rank.get((a, b), m.NONE) for a, b in pairs.tolist()]
+
+
+def test_words_in_small_groups(monkeypatch):
+    """The same ids whatever is put together at once and however little is kept: capitals, Latin letters, digits, empty texts."""
+    r = random.Random(17)
+    path = queries.vocabulary("word_bpe_49k.json")
+    tokens = packing.tokenizer(path)
+    alphabet = list("abAB ÀÉÖ×÷ßÿÞþ09.,!?'-_<|>\x7f\x00\x1c\x85  ́ Ãã\t\n") + ["<|endoftext|>", "é" * 130]
+    texts = [None, "", " ", *("".join(r.choices(alphabet, k=r.randint(0, 30))) for _ in range(300)), None, ""]
+    want = [tokens.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for most in (0, 40, 400_000):
+        for size, group in ((1 << 20, 1 << 18), (60, 3)):
+            monkeypatch.setattr(packing, "CHUNK_BYTES", size)
+            monkeypatch.setattr(packing, "GATHERED", group)
+            cache = packing.WordCache(path, most)
+            for _ in range(2):
+                assert [g.tolist() for g in packing.encode_texts(pa.array(texts), cache)] == want
+    assert [g.tolist() for g in packing.encode_texts(pa.array(texts).slice(5, 9), cache)] == want[5:14]
